@@ -14,8 +14,7 @@ Semantics of :func:`orphan_references`
   Extra columns of either side are ignored, so clashing names cannot occur.
 
 Scale: the target is reduced to one row per key before the join, so no join multiplies rows. Keys that hold
-a large part of the references are found by one partial aggregation and joined against a broadcast of at
-most ``HOT_KEYS`` target rows; all other keys take the shuffle join.
+a large part of the references are joined apart (see :mod:`quillon.operators.joins`).
 """
 
 from __future__ import annotations
@@ -24,11 +23,9 @@ from collections.abc import Sequence
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-#: Bound of the broadcast side for hot keys, and the share of the references that makes a key hot.
-HOT_KEYS, HOT_SHARE = 128, 0.002
+from pyspark.sql import DataFrame, functions as F
 
+from quillon.operators.joins import lookup_join
 
 def _key_state(targets: DataFrame, keys: Sequence[str], created: str | None, deleted: str | None) -> DataFrame:
     """One row per key: whether a live row exists, and the earliest creation time."""
@@ -38,22 +35,6 @@ def _key_state(targets: DataFrame, keys: Sequence[str], created: str | None, del
     return targets.groupBy(*cols).agg(live.alias("_live"), first.alias("_first"))
 
 
-def hot_keys(refs: DataFrame, keys: Sequence[str], limit: int = HOT_KEYS, share: float = HOT_SHARE) -> list[tuple]:
-    """At most ``limit`` key tuples that hold at least ``share`` of the rows (and 10,000 rows)."""
-    counts = refs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") >= 10_000).orderBy(F.col("_n").desc(), *keys).limit(limit).collect()
-    if not top:
-        return []
-    total = refs.count()
-    return [tuple(r[k] for k in keys) for r in top if r["_n"] >= share * total]
-
-
-def _is_any(cols: Sequence[Column], values: list[tuple]) -> Column:
-    if len(cols) == 1:
-        return cols[0].isin([v[0] for v in values])
-    return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (c == F.lit(x) for c, x in zip(cols, v))) for v in values))
-
-
 def orphan_references(
     refs: DataFrame,
     ref_keys: Sequence[str],
@@ -86,21 +67,13 @@ def orphan_references(
             continue
         state = _key_state(targets.dropna(subset=[target_keys[i] for i in held]), [target_keys[i] for i in held], created, deleted)
         rk = [f"_r{i}" for i in held]
-        hot = hot_keys(of_mask, rk)
-        sides = [(of_mask, state)]
-        if hot:
-            ref_hot = _is_any([F.col(k) for k in rk], hot)
-            key_hot = _is_any([F.col(f"_t{j}") for j in range(len(held))], hot)
-            # state has one row per key, so its hot part has at most HOT_KEYS rows
-            sides = [(of_mask.filter(~ref_hot), state), (of_mask.filter(ref_hot), F.broadcast(state.filter(key_hot)))]
         reason = (
             F.when(F.col("_live").isNull(), "missing")
             .when(~F.col("_live"), "deleted")
             .when(F.lit(bool(created and ref_time)) & ~F.coalesce(F.col("_first") <= F.col("_at"), F.lit(False)), "late")
         )
-        for left, right in sides:
-            on = reduce(lambda a, b: a & b, (F.col(k) == F.col(f"_t{j}") for j, k in enumerate(rk)))
-            parts.append(left.join(right, on, "left").select("row_key", "_at", reason.alias("reason")).filter("reason is not null"))
+        joined = lookup_join(of_mask, state, rk, [f"_t{j}" for j in range(len(held))])
+        parts.append(joined.select("row_key", "_at", reason.alias("reason")).filter("reason is not null"))
     if not parts:
         return rows.filter(F.lit(False)).select("row_key", F.lit("").alias("period"), F.lit("").alias("reason"))
     out = reduce(DataFrame.unionAll, parts)
