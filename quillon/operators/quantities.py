@@ -2,8 +2,8 @@
 
 Semantics of :func:`normalize_quantities`
 -----------------------------------------
-* A row takes part if its ``standard_name`` is one of the terms; all others are left out. Repeated deliveries of an
-  ``obs_id`` count once, the earliest ``received_at`` is kept.
+* A row takes part if its ``standard_name`` is one of the terms; all others are left out. Repeated deliveries with the
+  same content give one row.
 * ``value_num``: the number that the value holds (full-width digits, decimal comma, exponents, signs and marks are
   read); null where the value is null, empty or holds none - such rows stay, with null results.
 * The unit is looked for in ``unit`` (unless ``unit_source`` is ``controlled_default``), then behind the number in
@@ -13,7 +13,7 @@ Semantics of :func:`normalize_quantities`
 * Texts that state no unit of the term's dimensions count as no statement. Null in any column is allowed.
 * Empty tables give an empty result. Columns beyond the named ones are ignored.
 
-Scale: one narrow pass over the observations; the only shuffles are the de-duplication by ``obs_id`` and one partial
+Scale: one narrow pass over the observations; the only shuffles are the final de-duplication and one partial
 aggregation to a row per term. The term list is a dictionary; more than ``MAX_TERMS`` entries are refused.
 """
 
@@ -24,7 +24,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.functions.units import plain, resolve
 from quillon.session import broadcast_if_small
@@ -33,7 +33,7 @@ from quillon.session import broadcast_if_small
 MAX_TERMS = 20_000
 _NUMERIC = re.compile(r"[<>≤≥~]?[-+]?\d[\d.,]*(?:[eE][-+]?\d+)?$")
 _POWER = re.compile(r"10\s*(?:\^|[eE*])\s*[-+]?\d")
-_TAILS = (re.compile(r"[(\[]([^()\[\]]*)[)\]]\s*$"), re.compile(r",\s*([^,]+)$"), re.compile(r"\sin\s+(\S.*)$"))
+NAME_TAILS = (re.compile(r"[(\[]([^()\[\]]*)[)\]]\s*$"), re.compile(r",\s*([^,]+)$"), re.compile(r"\sin\s+(\S.*)$"))
 Field = tuple[tuple[str, float], ...]
 
 
@@ -65,7 +65,7 @@ def unit_in_words(text: str | None, field: Field) -> tuple[str, float] | None:
 
 def unit_in_name(name: str | None, field: Field) -> tuple[str, float] | None:
     """A unit in the brackets at the end of a name, behind its last comma or behind the word ``in``."""
-    for tail in _TAILS if name else ():
+    for tail in NAME_TAILS if name else ():
         if (m := tail.search(name)) and (found := resolve(m[1].strip(), field)):
             return found
     return None
@@ -116,8 +116,11 @@ def _rest(value: Column) -> Column:
     return F.when(~rest.isin("", "H", "L", "HH", "LL"), rest)
 
 
-def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions: DataFrame) -> DataFrame:
-    """Every observation of a known term in the term's default unit; see the module text for the semantics."""
+def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions: DataFrame, distinct: bool = True) -> DataFrame:
+    """Every observation of a known term in the term's default unit; see the module text for the semantics.
+
+    ``distinct=False`` leaves repeated deliveries to a later step that removes them with less to shuffle.
+    """
     fields = fields_of(terms, conversions)
     spark = observations.sparkSession
     names = spark.createDataFrame(
@@ -126,11 +129,8 @@ def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions:
     )
     ids = terms.select("standard_name", "term_id").dropna().distinct()
     names = broadcast_if_small(names.join(ids, "standard_name"), MAX_TERMS)
-    used = observations.select(
-        "obs_id", "raw_name", "standard_name", "value", "unit", "unit_source", "ref_lower", "ref_upper", "remark", "received_at"
-    ).filter(F.col("standard_name").isNotNull())
-    first = F.min_by(F.struct(*[c for c in used.columns if c != "obs_id"]), F.coalesce("received_at", F.timestamp_seconds(F.lit(0))))
-    rows = used.join(names, "standard_name").groupBy("obs_id", "term_id", "default_unit", "units").agg(first.alias("_r")).select("obs_id", "term_id", "default_unit", "units", "_r.*")
+    used = observations.select("obs_id", "raw_name", "standard_name", "value", "unit", "unit_source", "ref_lower", "ref_upper", "remark")
+    rows = used.filter(F.col("standard_name").isNotNull()).join(names, "standard_name")
     given = F.when(~F.col("unit_source").eqNullSafe("controlled_default"), F.col("unit"))
     # a row states its unit in the unit column nine times in ten; the longer texts are only sent to Python where it does not
     bare = given.isNull() | (F.trim(given) == "")
@@ -142,7 +142,7 @@ def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions:
         F.percentile_approx(F.when(F.col("lo") > 0, F.col("lo")), 0.5, 1000).alias("_lo"),
         F.percentile_approx(F.when(F.col("hi") > 0, F.col("hi")), 0.5, 1000).alias("_hi"),
     )
-    rows = rows.join(broadcast_if_small(typical, MAX_TERMS), "term_id", "left")
+    rows = rows.join(F.broadcast(typical), "term_id", "left")  # a row per term: at most MAX_TERMS
 
     def off(bound: str, usual: str, u: Column) -> Column:
         b, t = F.col(bound), F.col(usual)
@@ -153,7 +153,7 @@ def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions:
     shown = F.when(F.col("_s.factor").isNull() & has_interval, F.array_min(fits))
     rows = rows.withColumn("_i", shown)
     factor = F.coalesce("_s.factor", "_i.factor")
-    return rows.select(
+    out = rows.select(
         "obs_id", "term_id", "standard_name", "value", "value_num",
         F.coalesce("_s.unit", "_i.unit").alias("unit"),
         F.when(F.col("_s.factor").isNotNull(), F.col("_s.origin")).when(F.col("_i").isNotNull(), "interval").otherwise("none").alias("unit_origin"),
@@ -162,6 +162,7 @@ def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions:
         (F.col("ref_lower") * factor).alias("ref_lower_normalized"),
         (F.col("ref_upper") * factor).alias("ref_upper_normalized"),
     )
+    return out.distinct() if distinct else out
 
 
 def converted(normalized: DataFrame) -> DataFrame:

@@ -9,13 +9,13 @@ from quillon.operators.references import orphan_references
 from quillon.sources.tables import table
 
 
-def _normalized(spark: SparkSession, d: str) -> DataFrame:
-    return normalize_quantities(table(spark, d, "observation"), table(spark, d, "lab_term"), table(spark, d, "unit_conversion"))
+def _normalized(spark: SparkSession, d: str, distinct: bool = True) -> DataFrame:
+    return normalize_quantities(table(spark, d, "observation"), table(spark, d, "lab_term"), table(spark, d, "unit_conversion"), distinct)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Observations whose unit makes the factor to the default unit differ from 1."""
-    return converted(_normalized(spark, d))
+    return converted(_normalized(spark, d, distinct=False))
 
 
 def p3_normalized(spark: SparkSession, d: str) -> DataFrame:
