@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["quillon.llm.q_lookalike", "quillon.llm.q_mapping"]
+_MODULES = ["quillon.llm.q_lookalike", "quillon.llm.q_mapping", "quillon.llm.q_pages"]
 QUERIES: dict = {}
 SQL: dict = {}
 for _m in _MODULES:
