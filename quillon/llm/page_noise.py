@@ -17,8 +17,6 @@ give empty results. No window reaches beyond one page, so no group is larger tha
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -89,28 +87,26 @@ def _notations(spark: SparkSession) -> DataFrame:
 def page_lines(pages: DataFrame) -> DataFrame:
     """One row per line of each distinct page, with its kind, its neighbours and its place among the lines with text."""
     kept = pages.select("page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number", "raw_text").filter("raw_text is not null and page_id is not null")
-    once = kept.dropDuplicates(["page_id"])
-    rows = once.select(*[c for c in kept.columns if c != "raw_text"], F.posexplode(F.split("raw_text", "\n")).alias("pos", "text"))
-    rows = rows.withColumn("text", F.rtrim(F.translate("text", "\r", "")))
+    once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.translate("raw_text", "\r", ""), "\n")).drop("raw_text")
+    filled = F.size(F.filter("lines", lambda x: F.ltrim(x) != ""))
+    rows = once.withColumn("filled", filled).select(*[c for c in once.columns if c != "lines"], "filled", F.posexplode("lines").alias("pos", "text"))
+    rows = rows.withColumn("text", F.rtrim("text"))
     in_page = W.partitionBy("page_id").orderBy("pos")
-    fence = F.col("text").rlike(r"^\s*(?:```|\$\$\s*$)").cast("int")
-    full = (F.ltrim(F.col("text")) != "").cast("int")
+    t = F.col("text")
+    fence = (t.startswith("```") | (t == "$$") | F.ltrim(t).startswith("```")).cast("int")
     rows = rows.withColumns({
         "line_no": F.col("pos") + 1,
         "fences": F.sum(fence).over(in_page),
-        "top": F.sum(full).over(in_page),
+        "top": F.sum((F.ltrim(t) != "").cast("int")).over(in_page),
         "before": F.lag("text").over(in_page),
         "after": F.lead("text").over(in_page),
-        "filled": F.sum(full).over(W.partitionBy("page_id")),
-        "is_fence": fence,
     })
-    t = F.col("text")
     kind = (
         F.when(F.ltrim(t) == "", "blank")
-        .when((F.col("is_fence") == 1) | (F.col("fences") % 2 == 1), "block")
-        .when(t.rlike(r"^\s*\|.*\|\s*$|^\s*[|:-]*-{3,}"), "table")
+        .when((fence == 1) | (F.col("fences") % 2 == 1), "block")
+        .when(t.contains("|") & t.rlike(r"^\s*\|.*\|\s*$|^\s*[|:-]*-{3,}"), "table")
         .when(t.rlike(r"^\s*(?:\d{1,3}[.)、]|[-*•·])\s"), "list")
-        .when(t.rlike(r"^\s*#{1,6}\s"), "heading")
+        .when(F.ltrim(t).startswith("#") & t.rlike(r"^\s*#{1,6}\s"), "heading")
         .when(t.rlike("[a-zà-ÿ㐀-鿿]"), "prose")
         .otherwise("other")
     )
@@ -186,29 +182,34 @@ def edge_noise(lines: DataFrame) -> DataFrame:
     return headers.unionAll(numbers).unionAll(titles).distinct()
 
 
-_SPLIT = r"[^\p{L}\p{M}\p{N}|]+"
+#: What separates words: spaces and punctuation but not the break marks, which stay at the end of a half.
+_SPLIT = "[\\s!-,./:-@\\[-`{}~‑-⁯　-〿！-／：-＠《-》]+"
+_CUT = "\x01"
 
 
 def _words(text: Column) -> Column:
-    """The words of a Latin line in lower case; a stroke counts as a letter inside a word only."""
-    return F.filter(F.split(F.lower(text), _SPLIT), lambda w: (w != "") & (w != "|"))
+    """The words of a Latin line in lower case, without hyphens; a stroke counts as a letter inside a word only."""
+    return F.filter(F.split(F.lower(text), _SPLIT.replace("[", f"[{MARKS}", 1)), lambda w: (w != "") & (w != "|"))
+
 
+def _ends_cut(text: Column) -> Column:
+    return F.coalesce(F.substring(text, -1, 1).isin("-", "‐", "­", "¬") & text.rlike("[A-Za-z0-9|].$"), F.lit(False))
 
-def _usable(lines: DataFrame) -> DataFrame:
-    """Lines that carry running text."""
-    return lines.filter("kind in ('prose', 'list')")
+
+def _latin(lines: DataFrame, kinds: list[str]) -> DataFrame:
+    return lines.filter(F.col("kind").isin(kinds)).filter(F.col("text").rlike("[a-z0-9]{2}"))
 
 
 def word_counts(lines: DataFrame) -> DataFrame:
-    """``form, n``: how often each word form stands in running text, halves of broken words left out; compounds count also."""
-    latin = _usable(lines).filter(F.col("text").rlike("[a-z0-9]{2}"))
-    ends = F.col("text").rlike(f"[A-Za-z0-9][{MARKS}]$")
-    cut = F.coalesce(F.col("before").rlike(f"[A-Za-z0-9][{MARKS}]$"), F.lit(False))
-    whole = F.when(ends, F.regexp_replace("text", r"\S+$", "")).otherwise(F.col("text"))
-    whole = F.when(cut, F.regexp_replace(whole, r"^\s*\S+", "")).otherwise(whole)
-    words = latin.select(F.explode(_words(whole)).alias("form"))
-    compounds = latin.filter(F.col("text").contains("-")).select(F.explode(F.regexp_extract_all(F.lower(whole), F.lit(r"([\p{L}|0-9]+(?:-[\p{L}|0-9]+)+)"), F.lit(1))).alias("form"))
-    return words.unionAll(compounds).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+    """``form, n``: how often each word form stands in running text, halves of broken words left out.
+
+    Hyphenated compounds are counted as such and by their parts, once the distinct forms are known.
+    """
+    text = F.when(_ends_cut(F.col("before")), F.concat(F.lit(_CUT), F.ltrim("text"))).otherwise(F.col("text"))
+    forms = _latin(lines, ["prose", "list"]).select(F.explode(F.split(F.lower(text), _SPLIT)).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+    forms = forms.filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|^{_CUT}"))
+    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select(F.explode(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
+    return forms.unionAll(parts).groupBy("form").agg(F.sum("n").alias("n"))
 
 
 def _explains(read: str, true: str, most: int = 3) -> bool:
@@ -247,45 +248,46 @@ def suspects(counts: DataFrame) -> DataFrame:
     return pairs.filter(explained("form", "other")).unionAll(mixed).distinct()
 
 
-def misread_words(lines: DataFrame, counts: DataFrame) -> DataFrame:
-    """``page_id, line_no`` of body prose lines with a misread word or number."""
+def misread_words(lines: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Body prose lines with a surely misread word or number (``page_id, line_no``); the occurrences of forms that have
+    rivals, for :func:`in_context`; and the rivals (``form, other``)."""
     pairs = stored(suspects(counts), "pairs")
     number = F.col("form").rlike("[0-9]") & _digits(F.col("form")).rlike("^[0-9]+$")
-    sure = F.when(number, F.col("n") <= 0.3 * F.greatest("n_other", F.lit(1)) + 1).otherwise((F.col("n") <= RARE * F.col("n_other")))
-    rare = pairs.filter(sure).select(F.col("form").alias("_rare")).distinct()
-    rivals = pairs.join(rare, F.col("form") == F.col("_rare"), "left_anti").filter(~number)
-    judged = rivals.select("form").unionAll(rivals.select("other")).distinct()
+    sure = F.when(number, F.col("n") <= 0.3 * F.greatest("n_other", F.lit(1)) + 1).otherwise(F.col("n") <= RARE * F.col("n_other"))
+    rare = pairs.filter(sure).groupBy("form").agg(F.max_by("other", "n_other").alias("meant"))
+    rare = stored(rare.select(F.col("form").alias("_rare"), "meant"), "rare")
+    # rivals are forms that both stand on their own: neither is a sure misreading
+    rivals = pairs.filter(~number).join(rare, F.col("form") == F.col("_rare"), "left_anti").join(rare, F.col("other") == F.col("_rare"), "left_anti").select("form", "other")
+    rivals = stored(rivals.distinct(), "rivals")
+    judged = rivals.select("form").unionAll(rivals.select(F.col("other").alias("form"))).distinct()
+    odd = rare.select(F.col("_rare").alias("_o"), "meant", F.lit(False).alias("judged")).unionAll(judged.select(F.col("form").alias("_o"), F.lit(None).cast("string").alias("meant"), F.lit(True).alias("judged")))
     # forms that are surely right: the most frequent ones that are neither rare nor to be judged
-    odd = rare.select(F.col("_rare").alias("_o")).unionAll(judged.select("form"))
     stop = counts.join(odd, F.col("form") == F.col("_o"), "left_anti").orderBy(F.col("n").desc(), "form").limit(STOP_FORMS).select(F.col("form").alias("_stop"))
-    latin = lines.filter("kind = 'prose'").filter(F.col("text").rlike("[A-Za-z0-9]{2}"))
-    last = F.try_element_at(_words(F.coalesce("before", F.lit(""))), F.lit(-1))
-    first = F.try_element_at(_words(F.coalesce("after", F.lit(""))), F.lit(1))
-    ends, cut = F.col("text").rlike(f"[A-Za-z0-9][{MARKS}]$"), F.coalesce(F.col("before").rlike(f"[A-Za-z0-9][{MARKS}]$"), F.lit(False))
     own = _words(F.col("text"))
-    # a broken word is judged whole: its first half stands in this line, its second half in the next
-    joined = F.when(ends & first.isNotNull(), F.concat(F.slice(own, 1, F.greatest(F.size(own) - 1, F.lit(0))), F.array(F.concat(F.try_element_at(own, F.lit(-1)), first)))).otherwise(own)
-    rows = latin.select("page_id", "line_no", joined.alias("w"), F.when(ends, F.try_element_at(own, F.lit(-1))).alias("half"), F.when(cut, F.concat(last, F.try_element_at(own, F.lit(1)))).alias("tail"), F.when(cut, last).alias("tail_half"), F.coalesce(last, F.lit("^")).alias("p0"), F.coalesce(first, F.lit("$")).alias("q0"))
-    ctx = F.concat(F.array("p0"), F.col("w"), F.array("q0"))
-    tokens = rows.filter("size(w) > 0").withColumn("ctx", ctx).select("page_id", "line_no", "half", "tail", "tail_half", "ctx", F.posexplode("w").alias("i", "form"))
+    before, after = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit(""))
+    ends, cut = _ends_cut(F.col("text")), _ends_cut(F.col("before"))
+    last, first = F.try_element_at(_words(before), F.lit(-1)), F.try_element_at(_words(after), F.lit(1))
+    rows = _latin(lines, ["prose"]).select("page_id", "line_no", "before", "after", "text", own.alias("w"))
+    # a broken word is judged whole, at both of its lines
+    w = F.when(ends & first.isNotNull(), F.concat(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.array(F.concat(F.try_element_at("w", F.lit(-1)), first)))).otherwise(F.col("w"))
+    rows = rows.withColumn("w", w)
+    w = F.when(cut & last.isNotNull(), F.concat(F.array(F.concat(last, F.try_element_at("w", F.lit(1)))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))))).otherwise(F.col("w"))
+    tokens = rows.withColumn("w", w).filter("size(w) > 0").select("page_id", "line_no", "before", "after", "text", "w", F.posexplode("w").alias("i", "form"))
     tokens = tokens.join(F.broadcast(stop), F.col("form") == F.col("_stop"), "left_anti")  # at most STOP_FORMS rows
+    tokens = tokens.join(odd, F.col("form") == F.col("_o"))
+    is_first, is_last = F.col("i") == 0, F.col("i") == F.size("w") - 1
     tokens = tokens.select(
-        "page_id", "line_no", "half", "tail", "tail_half", "form", F.try_element_at("ctx", F.col("i") + 1).alias("p"), F.try_element_at("ctx", F.col("i") + 3).alias("q"),
-        (F.col("i") == F.size("ctx") - 3).alias("is_last"), (F.col("i") == 0).alias("is_first"),
+        "page_id", "line_no", "form", "judged", "meant",
+        F.when(F.col("judged"), F.coalesce(F.try_element_at("w", F.when(~is_first, F.col("i"))), last, F.lit("^"))).alias("p"),
+        F.when(F.col("judged"), F.coalesce(F.try_element_at("w", F.when(~is_last, F.col("i") + 2)), first, F.lit("$"))).alias("q"),
+        F.when(is_last & ends, F.length(F.try_element_at(own, F.lit(-1)))).alias("n_half"), F.when(is_first & cut, F.length(last)).alias("n_tail"),
     )
-    tokens = tokens.withColumn("form", F.when(F.col("is_first") & F.col("tail").isNotNull(), F.col("tail")).otherwise(F.col("form")))
-    tokens = stored(tokens.join(odd.distinct(), F.col("form") == F.col("_o"), "left_semi"), "tokens")
-    best = pairs.groupBy("form").agg(F.max_by("other", "n_other").alias("other")).withColumnRenamed("form", "_f")
-    hit = tokens.join(rare, F.col("form") == F.col("_rare")).join(best, F.col("form") == F.col("_f"), "left")
+    tokens = stored(tokens, "tokens")
     # of a broken word only the half with the wrong character counts
-    same = F.length("form") - F.length(F.regexp_replace(F.concat_ws("\n", "form", "other"), r"(?s)^(.*)(.*)\n\1.*$", "$2"))
-    n_half = F.coalesce(F.length("half"), F.lit(1000))
-    in_first = F.when(F.col("is_last") & F.col("half").isNotNull(), same < n_half)
-    in_tail = F.when(F.col("is_first") & F.col("tail").isNotNull(), same >= F.length("tail_half"))
-    plain_hits = hit.filter(F.coalesce(in_first, F.lit(True)) & F.coalesce(in_tail, F.lit(True))).select("page_id", "line_no")
+    same = F.length(F.regexp_extract(F.concat_ws("\n", "form", "meant"), r"(?s)^(.*).*\n\1", 1))
+    hit = tokens.filter(~F.col("judged")).filter(F.coalesce(same < F.col("n_half"), F.lit(True)) & F.coalesce(same >= F.col("n_tail"), F.lit(True))).select("page_id", "line_no")
     mask = lambda c: F.when(F.col(c).rlike("^[0-9]+$"), "#").otherwise(F.col(c))
-    occ = tokens.join(judged.withColumnRenamed("form", "_j"), F.col("form") == F.col("_j"), "left_semi").select("page_id", "line_no", "form", mask("p").alias("p"), mask("q").alias("q"))
-    return plain_hits.unionAll(in_context(occ, rivals.select("form", "other").distinct())).distinct()
+    return hit, tokens.filter("judged").select("page_id", "line_no", "form", mask("p").alias("p"), mask("q").alias("q")), rivals
 
 
 def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
@@ -295,7 +297,8 @@ def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
     ``CONTEXT_RATIO`` times better supported between the same neighbours; where it never stands between both,
     beside one of them.
     """
-    tri = occurrences.groupBy("p", "form", "q").agg(F.count(F.lit(1)).alias("n3"))
+    occurrences = stored(occurrences, "occurrences")
+    tri = stored(occurrences.groupBy("p", "form", "q").agg(F.count(F.lit(1)).alias("n3")), "contexts")
     left = tri.groupBy("p", "form").agg(F.sum("n3").alias("nl"))
     right = tri.groupBy("form", "q").agg(F.sum("n3").alias("nr"))
     cand = tri.join(rivals, "form")
@@ -309,21 +312,21 @@ def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
     return occurrences.join(bad, ["p", "form", "q"], "left_semi").select("page_id", "line_no")
 
 
-def misread_ideographs(lines: DataFrame) -> DataFrame:
-    """``page_id, line_no`` of body prose lines with a misread ideograph."""
-    chars = "".join(sorted({c for pair in IDEOGRAPHS for c in pair}))
-    own = lines.filter("kind = 'prose'").filter(F.col("text").rlike(f"[{chars}]"))
+def ideographs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of ideographs that have look-alikes, with their neighbours, and the rivals (``form, other``)."""
+    chars = sorted({c for pair in IDEOGRAPHS for c in pair})
+    code = {c: chr(0xE000 + i) for i, c in enumerate(chars)}  # one range of code points, so that the pattern stays simple
+    own = lines.filter("kind = 'prose'").filter(F.col("text").rlike("[㐀-鿿]"))
     near = lambda c, n: F.coalesce(F.when(F.length(F.trim(c)) > 0, F.substring(F.trim(c), n, 1)), F.lit("^"))
-    ctx = F.concat(near("before", -1), F.regexp_replace(F.trim("text"), "[0-9]", "0"), near("after", 1))
-    found = own.select("page_id", "line_no", F.explode(F.regexp_extract_all(ctx, F.lit(f"(?=(.[{chars}].))"), F.lit(1))).alias("c"))
-    occ = stored(found.select("page_id", "line_no", F.substring("c", 2, 1).alias("form"), F.substring("c", 1, 1).alias("p"), F.substring("c", 3, 1).alias("q")), "ideographs")
-    rivals = lines.sparkSession.createDataFrame([(a, b) for a, b in IDEOGRAPHS], "form string, other string")
-    return in_context(occ, F.broadcast(rivals)).distinct()  # the list of fixed values above
+    ctx = F.translate(F.concat(near("before", -1), F.trim("text"), near("after", 1)), "".join(chars) + "123456789", "".join(code.values()) + "0" * 9)
+    found = own.select("page_id", "line_no", F.explode(F.regexp_extract_all(ctx, F.lit(f"(?=(.[{chr(0xE000)}-{chr(0xE000 + len(chars))}].))"), F.lit(1))).alias("c"))
+    occ = found.select("page_id", "line_no", F.substring("c", 2, 1).alias("form"), F.substring("c", 1, 1).alias("p"), F.substring("c", 3, 1).alias("q"))
+    return occ, lines.sparkSession.createDataFrame([(code[a], code[b]) for a, b in IDEOGRAPHS], "form string, other string")
 
 
 def broken_words(lines: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
     """``page_id, line_no, joined`` of lines that end inside a word, with the whole word."""
-    ends = lines.filter("kind in ('prose', 'list')").filter(F.col("text").rlike(f"[A-Za-z0-9|][{MARKS}]$"))
+    ends = lines.filter("kind in ('prose', 'list')").filter(_ends_cut(F.col("text")))
     # first and last line of running text of each page, past headers and numbers
     edges = lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 4)").join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
     body = edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text", "kind")).alias("f"), F.first("document_id").alias("_d"), F.first("chapter_id").alias("_c"), F.first("chapter_page_index").alias("_i"))
@@ -354,7 +357,10 @@ def page_noise(pages: DataFrame) -> DataFrame:
     lines = stored(page_lines(pages), "lines")
     edge = stored(edge_noise(lines), "edge")
     counts = stored(word_counts(lines), "counts")
-    bad = misread_words(lines, counts).unionAll(misread_ideographs(lines)).join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
-    broken = broken_words(lines, edge, counts).join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
-    parts = [edge.filter("noise <> 'title'"), broken.select("page_id", "line_no", F.lit("broken_word").alias("noise")), bad.select("page_id", "line_no", F.lit("misread").alias("noise"))]
-    return reduce(DataFrame.unionAll, parts).distinct()
+    hit, words, rivals = misread_words(lines, counts)
+    signs, looks = ideographs(lines)
+    bad = hit.unionAll(in_context(words.unionAll(signs), rivals.unionAll(looks))).distinct()
+    broken = broken_words(lines, edge, counts).select("page_id", "line_no")
+    found = stored(bad.withColumn("noise", F.lit("misread")).unionAll(broken.withColumn("noise", F.lit("broken_word"))), "found")
+    found = found.join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
+    return found.unionAll(edge.filter("noise <> 'title'")).distinct()
