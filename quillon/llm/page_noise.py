@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from quillon.llm.storage import stored
 from quillon.operators.joins import lookup_join
+from quillon.session import broadcast_if_small
 
 # What a scanner makes of a glyph, as (read, true).
 CONFUSIONS = (
@@ -85,12 +86,13 @@ def _notations(spark: SparkSession) -> DataFrame:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """One row per line of each distinct page, with its kind, its neighbours and its place among the lines with text."""
-    kept = pages.select("page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number", "raw_text").filter("raw_text is not null and page_id is not null")
-    once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.translate("raw_text", "\r", ""), "\n")).drop("raw_text")
+    """One row per line of each distinct page: its kind, its place among the lines with text (from the top and from the
+    bottom), the last word of the line before and the first word of the line after (of words longer than 48 characters
+    only that much)."""
+    kept = pages.select("page_id", "raw_text").filter("raw_text is not null and page_id is not null")
+    once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
     filled = F.size(F.filter("lines", lambda x: F.ltrim(x) != ""))
-    rows = once.withColumn("filled", filled).select(*[c for c in once.columns if c != "lines"], "filled", F.posexplode("lines").alias("pos", "text"))
-    rows = rows.withColumn("text", F.rtrim("text"))
+    rows = once.select("page_id", filled.alias("filled"), F.posexplode("lines").alias("pos", "text")).withColumn("text", F.rtrim("text"))
     in_page = W.partitionBy("page_id").orderBy("pos")
     t = F.col("text")
     fence = (t.startswith("```") | (t == "$$") | F.ltrim(t).startswith("```")).cast("int")
@@ -98,8 +100,8 @@ def page_lines(pages: DataFrame) -> DataFrame:
         "line_no": F.col("pos") + 1,
         "fences": F.sum(fence).over(in_page),
         "top": F.sum((F.ltrim(t) != "").cast("int")).over(in_page),
-        "before": F.lag("text").over(in_page),
-        "after": F.lead("text").over(in_page),
+        "before": F.substring(F.substring_index(F.lag("text").over(in_page), " ", -1), -48, 48),
+        "after": F.substring(F.substring_index(F.ltrim(F.lead("text").over(in_page)), " ", 1), 1, 48),
     })
     kind = (
         F.when(F.ltrim(t) == "", "blank")
@@ -110,20 +112,38 @@ def page_lines(pages: DataFrame) -> DataFrame:
         .when(t.rlike("[a-zà-ÿ㐀-鿿]"), "prose")
         .otherwise("other")
     )
-    return rows.select("page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number", "line_no", "text", "before", "after", "top", (F.col("filled") - F.col("top") + 1).alias("bottom"), kind.alias("kind"))
+    return rows.select("page_id", "line_no", "text", "before", "after", "top", (F.col("filled") - F.col("top") + 1).alias("bottom"), kind.alias("kind"))
+
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """One row per page with its place in the book and its numbers."""
+    facts = pages.filter("raw_text is not null and page_id is not null").select("page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number")
+    return facts.groupBy("page_id").agg(*[F.first(c).alias(c) for c in facts.columns[1:]])
+
+
+def _place(rows: DataFrame, keyed: DataFrame, row_keys: list[str], keys: list[str]) -> DataFrame:
+    """Left join to a table with a row per book or chapter: sent whole where it is counted to be small, else by key."""
+    small = broadcast_if_small(keyed, 100_000)
+    if small is keyed:
+        return lookup_join(rows, keyed, row_keys, keys)
+    return rows.join(small, [F.col(r) == F.col(k) for r, k in zip(row_keys, keys)], "left")
 
 
 _NUM = r"[\[(（【·.\-—–\s]*(?:第|p\.?|page)?\s*([0-9０-９A-Za-z|í一二三四五六七八九十百零〇]{1,8})\s*(?:页|頁)?[\])）】·.\-—–\s]*"
 
 
-def edge_noise(lines: DataFrame) -> DataFrame:
-    """``page_id, line_no, noise`` for running headers and page numbers, and ``title`` for the title that opens a chapter."""
-    edges = lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)")
+def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
+    """``page_id, line_no, noise`` for running headers and page numbers, and ``title`` for the title that opens a chapter.
+
+    ``edge_lines`` are the lines of :func:`page_lines` at the edges of the pages.
+    """
+    edges = edge_lines.join(facts, "page_id")
     # the number each page must have: printed, else by the offset to the source page that most pages of the book show
     t = F.trim("text")
-    alone = F.regexp_extract(F.lower(t), "^" + _NUM + "$", 1)
-    first = F.regexp_extract(F.lower(t), r"^" + _NUM + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)
-    last = F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _NUM + "$", 1)
+    alone = F.when(F.length(t) <= 24, F.regexp_extract(F.lower(t), "^" + _NUM + "$", 1)).otherwise("")
+    parted = t.contains("  ") | t.contains("\t") | t.contains("|")
+    first = F.when(parted, F.regexp_extract(F.lower(t), r"^" + _NUM + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)).otherwise("")
+    last = F.when(parted, F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _NUM + "$", 1)).otherwise("")
     outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
     outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
     edges = edges.select(
@@ -135,9 +155,9 @@ def edge_noise(lines: DataFrame) -> DataFrame:
     shown = F.explode(F.array(F.col("source_pdf_page_number") - F.col("printed_page_number"), F.col("source_pdf_page_number") - number)).alias("offset")
     offsets = edges.select("document_id", shown).filter("offset is not null").groupBy("document_id", "offset").count()
     offsets = offsets.groupBy("document_id").agg(F.max(F.struct("count", -F.col("offset"), "offset")).alias("o")).select(F.col("document_id").alias("_d"), F.col("o.offset").alias("offset"))
-    edges = lookup_join(edges, offsets, ["document_id"], ["_d"]).drop("_d")
+    edges = _place(edges, offsets, ["document_id"], ["_d"]).drop("_d")
     edges = edges.withColumn("n", F.coalesce(F.col("printed_page_number"), F.col("source_pdf_page_number") - F.col("offset")))
-    edges = edges.join(F.broadcast(_notations(lines.sparkSession)), F.col("n") == F.col("_n"), "left")  # 999 rows
+    edges = edges.join(F.broadcast(_notations(edges.sparkSession)), F.col("n") == F.col("_n"), "left")  # 999 rows
     shape = lambda c: skeleton(F.col(c))
     is_number = {
         c: F.coalesce((F.col(c) != "") & ((_digits(F.col(c)) == F.col("arabic")) | (_digits(F.col(c), "6") == F.col("arabic")) | (shape(c) == F.col("roman")) | (F.translate(c, "〇", "零") == F.col("hanzi")) | (F.translate(c, "〇", "零") == F.col("ciphers"))), F.lit(False))
@@ -152,31 +172,31 @@ def edge_noise(lines: DataFrame) -> DataFrame:
         .otherwise(F.col("text"))
     )
     edges = edges.select("page_id", "document_id", "chapter_id", "chapter_page_index", "line_no", "top", "bottom", "kind", (F.col("is_alone") | F.col("is_first") | F.col("is_last")).alias("numbered"), F.regexp_replace(title, r"^#+\s*", "").alias("title"))
-    edges = edges.withColumn("shape", F.regexp_replace(skeleton(F.regexp_replace("title", r"\b[0-9]+\b", "#")), r"[\s,.:;'’·\-—]+", ""))
-    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.col("title").rlike(r"[.。;；!?！？]$")
+    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.col("title").rlike(r"[.。;；!?！？]$") & ~F.ltrim("title").rlike("^[a-z]")
+    shape = F.regexp_replace(skeleton(F.regexp_replace("title", r"\b[0-9]+\b", "#")), r"[\s,.:;'’·\-—]+", "")
+    edges = edges.withColumn("shape", F.when(candidate, shape))
     long_enough = F.length("shape") >= F.when(F.col("shape").rlike("[㐀-鿿]"), 2).otherwise(3)
-    edges = stored(edges.withColumn("key", F.when(candidate & long_enough, F.col("shape"))).drop("shape"), "keyed")
+    edges = stored(edges.withColumn("key", F.when(long_enough, F.col("shape"))).drop("shape"), "keyed")
     keyed = edges.filter("key is not null")
     opens = keyed.filter("chapter_page_index = 1 and top <= 2").select("document_id", "chapter_id", "key", "top", (F.col("kind") == "heading").alias("h"))
     opening = opens.groupBy("document_id", "chapter_id").agg(F.max(F.struct("h", -F.col("top"), "key")).alias("o")).select(F.col("document_id").alias("_od"), F.col("chapter_id").alias("_oc"), F.col("o.key").alias("opening"))
-    keyed = lookup_join(keyed, opening, ["document_id", "chapter_id"], ["_od", "_oc"]).drop("_od", "_oc")
+    opening = stored(opening, "opening")
+    keyed = _place(keyed, opening, ["document_id", "chapter_id"], ["_od", "_oc"]).drop("_od", "_oc")
     is_title = F.coalesce((F.col("chapter_page_index") == 1) & (F.col("top") <= 2) & (F.col("key") == F.col("opening")), F.lit(False))
     keyed = stored(keyed.withColumn("is_title", is_title), "titled")
     # repeated through the book or the chapter
-    capital = ~F.ltrim("title").rlike("^[a-z]")
-    votes = keyed.filter((F.col("kind") != "heading") | F.col("is_title")).filter(capital)
-    pages_of = edges.select("document_id", "chapter_id", "page_id").distinct()
-    per_chapter = pages_of.groupBy("document_id", "chapter_id").agg(F.count(F.lit(1)).alias("n_chapter"))
+    votes = keyed.filter((F.col("kind") != "heading") | F.col("is_title"))
+    per_chapter = facts.groupBy("document_id", "chapter_id").agg(F.count(F.lit(1)).alias("n_chapter"))
     per_book = per_chapter.groupBy("document_id").agg(F.sum("n_chapter").alias("n_book"))
-    by_chapter = votes.select("document_id", "chapter_id", "key", "page_id").distinct().groupBy("document_id", "chapter_id", "key").agg(F.count(F.lit(1)).alias("c"))
+    by_chapter = stored(votes.select("document_id", "chapter_id", "key", "page_id").distinct().groupBy("document_id", "chapter_id", "key").agg(F.count(F.lit(1)).alias("c")).filter("c >= 1"), "by_chapter")
     by_book = by_chapter.groupBy("document_id", "key").agg(F.sum("c").alias("c"), F.max("c").alias("most"))
-    books = lookup_join(by_book, per_book.withColumnRenamed("document_id", "_bd"), ["document_id"], ["_bd"]).filter("c >= 2 and c >= 0.12 * n_book").select("document_id", F.lit(None).cast("string").alias("chapter_id"), "key")
-    chapters = lookup_join(by_chapter, per_chapter.withColumnsRenamed({"document_id": "_bd", "chapter_id": "_bc"}), ["document_id", "chapter_id"], ["_bd", "_bc"]).filter("c >= 2 and c >= 0.15 * n_chapter").select("document_id", "chapter_id", "key")
+    books = _place(by_book, per_book.withColumnRenamed("document_id", "_bd"), ["document_id"], ["_bd"]).filter("c >= 2 and c >= 0.12 * n_book").select("document_id", F.lit(None).cast("string").alias("chapter_id"), "key")
+    chapters = _place(by_chapter, per_chapter.withColumnsRenamed({"document_id": "_bd", "chapter_id": "_bc"}), ["document_id", "chapter_id"], ["_bd", "_bc"]).filter("c >= 2 and c >= 0.15 * n_chapter").select("document_id", "chapter_id", "key")
     known = books.unionAll(chapters).unionAll(opening.select(F.col("_od").alias("document_id"), F.col("_oc").alias("chapter_id"), F.col("opening").alias("key"))).distinct()
     starts = known.select("document_id", "chapter_id", F.explode(F.transform(F.sequence(F.least(F.when(F.col("key").rlike("[㐀-鿿]"), 2).otherwise(5), F.length("key")), F.length("key")), lambda i: F.substring("key", F.lit(1), i))).alias("_k"), "key")
     starts = starts.select(F.col("document_id").alias("_kd"), F.col("chapter_id").alias("_kc"), "_k", (F.col("_k") == F.col("key")).alias("whole"))
     match = keyed.filter("not is_title").join(starts, (F.col("document_id") == F.col("_kd")) & (F.col("key") == F.col("_k")) & (F.col("_kc").isNull() | (F.col("_kc") == F.col("chapter_id"))), "left_semi")
-    headers = match.filter(capital & (F.col("kind") != "heading")).select("page_id", "line_no", F.lit("running_header").alias("noise"))
+    headers = match.filter(F.col("kind") != "heading").select("page_id", "line_no", F.lit("running_header").alias("noise"))
     numbers = edges.filter("numbered").select("page_id", "line_no", F.lit("page_number").alias("noise"))
     titles = keyed.filter("is_title").select("page_id", "line_no", F.lit("title").alias("noise"))
     return headers.unionAll(numbers).unionAll(titles).distinct()
@@ -193,23 +213,39 @@ def _words(text: Column) -> Column:
 
 
 def _ends_cut(text: Column) -> Column:
-    return F.coalesce(F.substring(text, -1, 1).isin("-", "‐", "­", "¬") & text.rlike("[A-Za-z0-9|].$"), F.lit(False))
+    return F.coalesce(text.rlike(f"[A-Za-z0-9|][{MARKS}]$"), F.lit(False))
+
+
+def _hyphen_end(text: Column) -> Column:
+    """A cheap test that holds for every text that ends with a break mark."""
+    return text.endswith("-") | text.endswith("‐") | text.endswith("­") | text.endswith("¬")
 
 
 def _latin(lines: DataFrame, kinds: list[str]) -> DataFrame:
     return lines.filter(F.col("kind").isin(kinds)).filter(F.col("text").rlike("[a-z0-9]{2}"))
 
 
-def word_counts(lines: DataFrame) -> DataFrame:
-    """``form, n``: how often each word form stands in running text, halves of broken words left out.
+def raw_counts(lines: DataFrame) -> DataFrame:
+    """``raw, n``: the pieces between blanks in running text, in lower case; what follows a broken word is marked."""
+    cut = F.coalesce(_hyphen_end(F.col("before")), F.lit(False))
+    text = F.when(cut, F.concat(F.lit(_CUT), F.ltrim("text"))).otherwise(F.col("text"))
+    return _latin(lines, ["prose", "list"]).select(F.explode(F.split(F.lower(text), " ")).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
 
-    Hyphenated compounds are counted as such and by their parts, once the distinct forms are known.
+
+def raw_forms(raw: DataFrame) -> DataFrame:
+    """``raw, form, n``: the word forms of each distinct piece, halves of broken words left out.
+
+    Hyphenated compounds stand as such and by their parts.
     """
-    text = F.when(_ends_cut(F.col("before")), F.concat(F.lit(_CUT), F.ltrim("text"))).otherwise(F.col("text"))
-    forms = _latin(lines, ["prose", "list"]).select(F.explode(F.split(F.lower(text), _SPLIT)).alias("form")).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
-    forms = forms.filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|^{_CUT}"))
-    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select(F.explode(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
-    return forms.unionAll(parts).groupBy("form").agg(F.sum("n").alias("n"))
+    forms = raw.filter(F.length("raw") <= 200).select("raw", F.explode(F.split("raw", _SPLIT)).alias("form"), "n")
+    forms = forms.filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|{_CUT}"))
+    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select("raw", F.explode(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
+    return forms.unionAll(parts)
+
+
+def word_counts(forms: DataFrame) -> DataFrame:
+    """``form, n``: how often each word form stands in running text."""
+    return forms.groupBy("form").agg(F.sum("n").alias("n"))
 
 
 def _explains(read: str, true: str, most: int = 3) -> bool:
@@ -248,9 +284,12 @@ def suspects(counts: DataFrame) -> DataFrame:
     return pairs.filter(explained("form", "other")).unionAll(mixed).distinct()
 
 
-def misread_words(lines: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Body prose lines with a surely misread word or number (``page_id, line_no``); the occurrences of forms that have
-    rivals, for :func:`in_context`; and the rivals (``form, other``)."""
+    rivals, for :func:`in_context`; and the rivals (``form, other``).
+
+    ``raw`` are the forms of the distinct pieces (:func:`raw_forms`), ``counts`` those of the forms.
+    """
     pairs = stored(suspects(counts), "pairs")
     number = F.col("form").rlike("[0-9]") & _digits(F.col("form")).rlike("^[0-9]+$")
     sure = F.when(number, F.col("n") <= 0.3 * F.greatest("n_other", F.lit(1)) + 1).otherwise(F.col("n") <= RARE * F.col("n_other"))
@@ -261,31 +300,28 @@ def misread_words(lines: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataF
     rivals = stored(rivals.distinct(), "rivals")
     judged = rivals.select("form").unionAll(rivals.select(F.col("other").alias("form"))).distinct()
     odd = rare.select(F.col("_rare").alias("_o"), "meant", F.lit(False).alias("judged")).unionAll(judged.select(F.col("form").alias("_o"), F.lit(None).cast("string").alias("meant"), F.lit(True).alias("judged")))
-    # forms that are surely right: the most frequent ones that are neither rare nor to be judged
-    stop = counts.join(odd, F.col("form") == F.col("_o"), "left_anti").orderBy(F.col("n").desc(), "form").limit(STOP_FORMS).select(F.col("form").alias("_stop"))
-    own = _words(F.col("text"))
-    before, after = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit(""))
-    ends, cut = _ends_cut(F.col("text")), _ends_cut(F.col("before"))
-    last, first = F.try_element_at(_words(before), F.lit(-1)), F.try_element_at(_words(after), F.lit(1))
-    rows = _latin(lines, ["prose"]).select("page_id", "line_no", "before", "after", "text", own.alias("w"))
-    # a broken word is judged whole, at both of its lines
-    w = F.when(ends & first.isNotNull(), F.concat(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.array(F.concat(F.try_element_at("w", F.lit(-1)), first)))).otherwise(F.col("w"))
-    rows = rows.withColumn("w", w)
-    w = F.when(cut & last.isNotNull(), F.concat(F.array(F.concat(last, F.try_element_at("w", F.lit(1)))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))))).otherwise(F.col("w"))
-    tokens = rows.withColumn("w", w).filter("size(w) > 0").select("page_id", "line_no", "before", "after", "text", "w", F.posexplode("w").alias("i", "form"))
-    tokens = tokens.join(F.broadcast(stop), F.col("form") == F.col("_stop"), "left_anti")  # at most STOP_FORMS rows
-    tokens = tokens.join(odd, F.col("form") == F.col("_o"))
-    is_first, is_last = F.col("i") == 0, F.col("i") == F.size("w") - 1
-    tokens = tokens.select(
-        "page_id", "line_no", "form", "judged", "meant",
-        F.when(F.col("judged"), F.coalesce(F.try_element_at("w", F.when(~is_first, F.col("i"))), last, F.lit("^"))).alias("p"),
-        F.when(F.col("judged"), F.coalesce(F.try_element_at("w", F.when(~is_last, F.col("i") + 2)), first, F.lit("$"))).alias("q"),
-        F.when(is_last & ends, F.length(F.try_element_at(own, F.lit(-1)))).alias("n_half"), F.when(is_first & cut, F.length(last)).alias("n_tail"),
-    )
-    tokens = stored(tokens, "tokens")
-    # of a broken word only the half with the wrong character counts
+    odd_raw = stored(raw.join(odd, F.col("form") == F.col("_o")).select(F.col("raw").alias("_raw"), "form", "meant", "judged").distinct(), "odd")
+    # pieces that are surely right: the most frequent ones without such a form
+    stop = raw.select("raw", "n").distinct().join(odd_raw, F.col("raw") == F.col("_raw"), "left_anti").orderBy(F.col("n").desc(), "raw").limit(STOP_FORMS).select(F.col("raw").alias("_stop"))
+    before, after, text = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.lower("text")
+    prose = _latin(lines, ["prose"])
+    pieces = prose.select("page_id", "line_no", "before", "after", text.alias("text"), F.posexplode(F.split(text, " ")).alias("i", "raw"))
+    pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")  # at most STOP_FORMS rows
+    pieces = pieces.join(odd_raw, F.col("raw") == F.col("_raw"))
+    w = F.split("text", " ")
+    here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.size(w) - 1) & _ends_cut(F.col("text"))))
+    word = lambda c, n: F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^"))
+    near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at(w, F.when(i > 0, i)), other), n))
+    here = here.select("page_id", "line_no", "form", "judged", "meant", near(F.col("i"), before, -1).alias("p"), near(F.col("i") + 2, after, 1).alias("q"), F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("below"))
+    # a broken word is judged whole, at both of its lines; only the half with the wrong character counts
+    ends = prose.filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.try_element_at(_words(F.substring_index("text", " ", -1)), F.lit(-1)).alias("a"), F.try_element_at(_words(after), F.lit(1)).alias("b"), F.lit(True).alias("first"))
+    cuts = prose.filter(_hyphen_end(before) & _ends_cut(F.col("before"))).select("page_id", "line_no", F.try_element_at(_words(before), F.lit(-1)).alias("a"), F.try_element_at(_words(F.substring_index(F.ltrim("text"), " ", 1)), F.lit(1)).alias("b"), F.lit(False).alias("first"))
+    whole = ends.unionAll(cuts).withColumn("form", F.concat("a", "b")).join(odd.filter("not judged"), F.col("form") == F.col("_o"))
+    n_a = F.length("a")
+    whole = whole.select("page_id", "line_no", "form", "judged", "meant", F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("q"), F.when(~F.col("first"), n_a).alias("least"), F.when(F.col("first"), n_a).alias("below"))
+    tokens = stored(here.unionAll(whole), "tokens")
     same = F.length(F.regexp_extract(F.concat_ws("\n", "form", "meant"), r"(?s)^(.*).*\n\1", 1))
-    hit = tokens.filter(~F.col("judged")).filter(F.coalesce(same < F.col("n_half"), F.lit(True)) & F.coalesce(same >= F.col("n_tail"), F.lit(True))).select("page_id", "line_no")
+    hit = tokens.filter(~F.col("judged")).filter(F.coalesce(same < F.col("below"), F.lit(True)) & F.coalesce(same >= F.col("least"), F.lit(True))).select("page_id", "line_no")
     mask = lambda c: F.when(F.col(c).rlike("^[0-9]+$"), "#").otherwise(F.col(c))
     return hit, tokens.filter("judged").select("page_id", "line_no", "form", mask("p").alias("p"), mask("q").alias("q")), rivals
 
@@ -324,16 +360,16 @@ def ideographs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return occ, lines.sparkSession.createDataFrame([(code[a], code[b]) for a, b in IDEOGRAPHS], "form string, other string")
 
 
-def broken_words(lines: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
-    """``page_id, line_no, joined`` of lines that end inside a word, with the whole word."""
-    ends = lines.filter("kind in ('prose', 'list')").filter(_ends_cut(F.col("text")))
+def broken_words(lines: DataFrame, edge_lines: DataFrame, facts: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
+    """``page_id, line_no, one`` of lines that end inside a word, with the whole word."""
+    ends = lines.filter("kind in ('prose', 'list')").filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.substring_index("text", " ", -1).alias("text"), "after")
     # first and last line of running text of each page, past headers and numbers
-    edges = lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 4)").join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
-    body = edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text", "kind")).alias("f"), F.first("document_id").alias("_d"), F.first("chapter_id").alias("_c"), F.first("chapter_page_index").alias("_i"))
-    following = body.select("_d", "_c", (F.col("_i") - 1).alias("_i"), F.col("f.text").alias("next_text"))
-    tail = body.select(F.col("page_id").alias("_p"), "last_line")
+    edges = edge_lines.join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
+    body = edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")).join(facts.select("page_id", "document_id", "chapter_id", "chapter_page_index"), "page_id")
+    following = body.select(F.col("document_id").alias("_d"), F.col("chapter_id").alias("_c"), (F.col("chapter_page_index") - 1).alias("_i"), F.substring_index(F.ltrim("f.text"), " ", 1).alias("next_text"))
+    tail = body.select(F.col("page_id").alias("_p"), "last_line", "document_id", "chapter_id", "chapter_page_index")
+    tail = tail.join(following, (F.col("document_id") == F.col("_d")) & (F.col("chapter_id") == F.col("_c")) & (F.col("chapter_page_index") == F.col("_i")), "left").select("_p", "last_line", "next_text")
     rows = ends.join(tail, F.col("page_id") == F.col("_p"), "left")
-    rows = rows.join(following, (F.col("document_id") == F.col("_d")) & (F.col("chapter_id") == F.col("_c")) & (F.col("chapter_page_index") == F.col("_i")), "left")
     goes_on = F.when(F.col("line_no") >= F.col("last_line"), F.col("next_text")).otherwise(F.col("after"))
     word = r"([\p{L}\p{N}|]+(?:-[\p{L}\p{N}|]+)*)"
     rows = rows.select("page_id", "line_no", F.regexp_extract(F.lower("text"), word + f"[{MARKS}]$", 1).alias("a"), F.substring("text", -1, 1).alias("mark"), F.regexp_extract(F.lower(F.coalesce(goes_on, F.lit(""))), r"^\s*" + word, 1).alias("b")).filter("a <> ''")
@@ -355,12 +391,15 @@ def broken_words(lines: DataFrame, noise: DataFrame, counts: DataFrame) -> DataF
 def page_noise(pages: DataFrame) -> DataFrame:
     """``page_id, line_no, noise`` for every noisy line and kind of noise."""
     lines = stored(page_lines(pages), "lines")
-    edge = stored(edge_noise(lines), "edge")
-    counts = stored(word_counts(lines), "counts")
-    hit, words, rivals = misread_words(lines, counts)
+    facts = stored(page_facts(pages), "facts")
+    edge_lines = stored(lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind"), "edge_lines")
+    edge = stored(edge_noise(edge_lines, facts), "edge")
+    raw = stored(raw_forms(raw_counts(lines)), "raw")
+    counts = stored(word_counts(raw), "counts")
+    hit, words, rivals = misread_words(lines, raw, counts)
     signs, looks = ideographs(lines)
     bad = hit.unionAll(in_context(words.unionAll(signs), rivals.unionAll(looks))).distinct()
-    broken = broken_words(lines, edge, counts).select("page_id", "line_no")
+    broken = broken_words(lines, edge_lines, facts, edge, counts).select("page_id", "line_no")
     found = stored(bad.withColumn("noise", F.lit("misread")).unionAll(broken.withColumn("noise", F.lit("broken_word"))), "found")
     found = found.join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
     return found.unionAll(edge.filter("noise <> 'title'")).distinct()
