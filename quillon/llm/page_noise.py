@@ -86,33 +86,37 @@ def _notations(spark: SparkSession) -> DataFrame:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """One row per line of each distinct page: its kind, its place among the lines with text (from the top and from the
-    bottom), the last word of the line before and the first word of the line after (of words longer than 48 characters
-    only that much)."""
+    """One row per line of each distinct page: its kind, its place among the lines with text from the top and from the
+    bottom (4 for all beyond the third), the last word of the line before and the first word of the line after (of
+    words longer than 48 characters only that much)."""
     kept = pages.select("page_id", "raw_text").filter("raw_text is not null and page_id is not null")
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
-    filled = F.size(F.filter("lines", lambda x: F.ltrim(x) != ""))
-    rows = once.select("page_id", filled.alias("filled"), F.posexplode("lines").alias("pos", "text")).withColumn("text", F.rtrim("text"))
-    in_page = W.partitionBy("page_id").orderBy("pos")
+    full = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.ltrim(F.element_at("lines", i)) != "")
+    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", -F.least(F.lit(3), F.size("full")), F.least(F.lit(3), F.size("full"))).alias("last"), (F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$"))).alias("fenced"))
+    rows = once.select("page_id", "lines", "first", "last", "fenced", F.posexplode("lines").alias("pos", "text"))
+    tail = lambda c: F.substring(F.substring_index(F.rtrim(c), " ", -1), -48, 48)
+    head = lambda c: F.substring(F.substring_index(F.ltrim(c), " ", 1), 1, 48)
+    place = lambda c: F.nullif(F.array_position(c, (F.col("pos") + 1).cast("int")), F.lit(0))
+    rows = rows.select(
+        "page_id", "fenced", (F.col("pos") + 1).alias("line_no"), F.rtrim("text").alias("text"),
+        tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0)))).alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"),
+        F.coalesce(place("first"), F.lit(4)).cast("int").alias("top"), (F.size("last") + 1 - F.coalesce(place("last"), F.size("last") - 3)).cast("int").alias("bottom"),
+    )
     t = F.col("text")
     fence = (t.startswith("```") | (t == "$$") | F.ltrim(t).startswith("```")).cast("int")
-    rows = rows.withColumns({
-        "line_no": F.col("pos") + 1,
-        "fences": F.sum(fence).over(in_page),
-        "top": F.sum((F.ltrim(t) != "").cast("int")).over(in_page),
-        "before": F.substring(F.substring_index(F.lag("text").over(in_page), " ", -1), -48, 48),
-        "after": F.substring(F.substring_index(F.ltrim(F.lead("text").over(in_page)), " ", 1), 1, 48),
-    })
+    plain = rows.filter("not fenced").withColumn("in_block", F.lit(False))
+    fences = F.sum(fence).over(W.partitionBy("page_id").orderBy("line_no"))
+    rows = plain.unionByName(rows.filter("fenced").withColumn("in_block", (fence == 1) | (fences % 2 == 1)))
     kind = (
         F.when(F.ltrim(t) == "", "blank")
-        .when((fence == 1) | (F.col("fences") % 2 == 1), "block")
+        .when(F.col("in_block"), "block")
         .when(t.contains("|") & t.rlike(r"^\s*\|.*\|\s*$|^\s*[|:-]*-{3,}"), "table")
         .when(t.rlike(r"^\s*(?:\d{1,3}[.)、]|[-*•·])\s"), "list")
         .when(F.ltrim(t).startswith("#") & t.rlike(r"^\s*#{1,6}\s"), "heading")
         .when(t.rlike("[a-zà-ÿ㐀-鿿]"), "prose")
         .otherwise("other")
     )
-    return rows.select("page_id", "line_no", "text", "before", "after", "top", (F.col("filled") - F.col("top") + 1).alias("bottom"), kind.alias("kind"))
+    return rows.select("page_id", "line_no", "text", "before", "after", "top", "bottom", kind.alias("kind"))
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -305,13 +309,13 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     stop = raw.select("raw", "n").distinct().join(odd_raw, F.col("raw") == F.col("_raw"), "left_anti").orderBy(F.col("n").desc(), "raw").limit(STOP_FORMS).select(F.col("raw").alias("_stop"))
     before, after, text = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.lower("text")
     prose = _latin(lines, ["prose"])
-    pieces = prose.select("page_id", "line_no", "before", "after", text.alias("text"), F.posexplode(F.split(text, " ")).alias("i", "raw"))
+    pieces = prose.select("page_id", "line_no", "before", "after", F.split(text, " ").alias("w")).withColumn("n_w", F.size("w"))
+    pieces = pieces.select("page_id", "line_no", "before", "after", "w", "n_w", F.posexplode("w").alias("i", "raw"))
     pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")  # at most STOP_FORMS rows
     pieces = pieces.join(odd_raw, F.col("raw") == F.col("_raw"))
-    w = F.split("text", " ")
-    here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.size(w) - 1) & _ends_cut(F.col("text"))))
+    here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_hyphen_end(F.col("before")) & _ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.col("n_w") - 1) & _hyphen_end(F.col("raw")) & _ends_cut(F.col("raw"))))
     word = lambda c, n: F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^"))
-    near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at(w, F.when(i > 0, i)), other), n))
+    near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))
     here = here.select("page_id", "line_no", "form", "judged", "meant", near(F.col("i"), before, -1).alias("p"), near(F.col("i") + 2, after, 1).alias("q"), F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("below"))
     # a broken word is judged whole, at both of its lines; only the half with the wrong character counts
     ends = prose.filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.try_element_at(_words(F.substring_index("text", " ", -1)), F.lit(-1)).alias("a"), F.try_element_at(_words(after), F.lit(1)).alias("b"), F.lit(True).alias("first"))
@@ -321,7 +325,8 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     whole = whole.select("page_id", "line_no", "form", "judged", "meant", F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("q"), F.when(~F.col("first"), n_a).alias("least"), F.when(F.col("first"), n_a).alias("below"))
     tokens = stored(here.unionAll(whole), "tokens")
     same = F.length(F.regexp_extract(F.concat_ws("\n", "form", "meant"), r"(?s)^(.*).*\n\1", 1))
-    hit = tokens.filter(~F.col("judged")).filter(F.coalesce(same < F.col("below"), F.lit(True)) & F.coalesce(same >= F.col("least"), F.lit(True))).select("page_id", "line_no")
+    right_half = F.when(F.col("below").isNotNull(), same < F.col("below")).when(F.col("least").isNotNull(), same >= F.col("least")).otherwise(F.lit(True))
+    hit = tokens.filter(~F.col("judged") & right_half).select("page_id", "line_no")
     mask = lambda c: F.when(F.col(c).rlike("^[0-9]+$"), "#").otherwise(F.col(c))
     return hit, tokens.filter("judged").select("page_id", "line_no", "form", mask("p").alias("p"), mask("q").alias("q")), rivals
 
@@ -377,11 +382,11 @@ def broken_words(lines: DataFrame, edge_lines: DataFrame, facts: DataFrame, nois
     rows = rows.withColumn("one", F.concat("last_a", "first_b")).withColumn("two", F.concat_ws("-", "a", "b"))
     shapes = counts.groupBy(skeleton(F.col("form")).alias("_s")).agg(F.sum("n").alias("_n"))
     shapes = stored(shapes, "shapes")
-    rows = rows.withColumn("s1", skeleton(F.col("one"))).withColumn("s2", skeleton(F.col("two")))
+    rows = stored(rows.withColumn("s1", skeleton(F.col("one"))).withColumn("s2", skeleton(F.col("two"))), "breaks")
     rows = rows.join(shapes.withColumnsRenamed({"_s": "_s1", "_n": "n1"}), F.col("s1") == F.col("_s1"), "left").join(shapes.withColumnsRenamed({"_s": "_s2", "_n": "n2"}), F.col("s2") == F.col("_s2"), "left")
     n1, n2 = F.coalesce("n1", F.lit(0)), F.coalesce("n2", F.lit(0))
-    a_word = rows.join(counts.filter("n >= 20").select(F.col("form").alias("last_a")), "last_a", "left_semi").select("page_id", "line_no").withColumn("known_a", F.lit(True))
-    rows = rows.join(a_word.distinct(), ["page_id", "line_no"], "left")
+    known = counts.filter("n >= 20").select(F.col("form").alias("_w"), F.lit(True).alias("known_a"))
+    rows = rows.join(known, F.col("last_a") == F.col("_w"), "left")
     # an unknown word: a mark that is no hyphen always breaks, a hyphen does where its left side is no word
     broken = (F.col("b") != "") & ((F.col("mark") != "-") | (n1 > n2) | ((n1 == n2) & F.col("known_a").isNull()))
     end_of_page = (F.col("b") == "") & ((F.col("mark") != "-") | F.col("known_a").isNull())
