@@ -86,27 +86,25 @@ def _notations(spark: SparkSession) -> DataFrame:
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
-    """One row per line of each distinct page: its kind, its place among the lines with text from the top and from the
+    """One row per line of each distinct page: its kind (the fences before a line tell whether it lies in a block), its place among the lines with text from the top and from the
     bottom (4 for all beyond the third), the last word of the line before and the first word of the line after (of
     words longer than 48 characters only that much)."""
     kept = pages.select("page_id", "raw_text").filter("raw_text is not null and page_id is not null")
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
+    is_fence = lambda x: F.ltrim(x).startswith("```") | (F.rtrim(x) == "$$")
     full = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.ltrim(F.element_at("lines", i)) != "")
-    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", -F.least(F.lit(3), F.size("full")), F.least(F.lit(3), F.size("full"))).alias("last"), (F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$"))).alias("fenced"))
-    rows = once.select("page_id", "lines", "first", "last", "fenced", F.posexplode("lines").alias("pos", "text"))
+    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", -F.least(F.lit(3), F.size("full")), F.least(F.lit(3), F.size("full"))).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
+    rows = once.select("page_id", "lines", "first", "last", "fences", F.posexplode("lines").alias("pos", "text"))
     tail = lambda c: F.substring(F.substring_index(F.rtrim(c), " ", -1), -48, 48)
     head = lambda c: F.substring(F.substring_index(F.ltrim(c), " ", 1), 1, 48)
     place = lambda c: F.nullif(F.array_position(c, (F.col("pos") + 1).cast("int")), F.lit(0))
     rows = rows.select(
-        "page_id", "fenced", (F.col("pos") + 1).alias("line_no"), F.rtrim("text").alias("text"),
+        "page_id", (F.col("pos") + 1).alias("line_no"), F.rtrim("text").alias("text"),
         tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0)))).alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"),
         F.coalesce(place("first"), F.lit(4)).cast("int").alias("top"), (F.size("last") + 1 - F.coalesce(place("last"), F.size("last") - 3)).cast("int").alias("bottom"),
+        F.when(F.size("fences") > 0, is_fence(F.col("text")) | (F.size(F.filter("fences", lambda i: i <= F.col("pos") + 1)) % 2 == 1)).alias("in_block"),
     )
     t = F.col("text")
-    fence = (t.startswith("```") | (t == "$$") | F.ltrim(t).startswith("```")).cast("int")
-    plain = rows.filter("not fenced").withColumn("in_block", F.lit(False))
-    fences = F.sum(fence).over(W.partitionBy("page_id").orderBy("line_no"))
-    rows = plain.unionByName(rows.filter("fenced").withColumn("in_block", (fence == 1) | (fences % 2 == 1)))
     kind = (
         F.when(F.ltrim(t) == "", "blank")
         .when(F.col("in_block"), "block")
@@ -175,8 +173,8 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
         .when(F.col("is_alone"), F.lit(""))
         .otherwise(F.col("text"))
     )
-    edges = edges.select("page_id", "document_id", "chapter_id", "chapter_page_index", "line_no", "top", "bottom", "kind", (F.col("is_alone") | F.col("is_first") | F.col("is_last")).alias("numbered"), F.regexp_replace(title, r"^#+\s*", "").alias("title"))
-    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.col("title").rlike(r"[.。;；!?！？]$") & ~F.ltrim("title").rlike("^[a-z]")
+    edges = edges.select("page_id", "document_id", "chapter_id", "chapter_page_index", "line_no", "top", "bottom", "kind", (F.col("is_alone") | F.col("is_first") | F.col("is_last")).alias("numbered"), F.when(title.startswith("#"), F.regexp_replace(title, r"^#+\s*", "")).otherwise(title).alias("title"))
+    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.substring("title", -1, 1).isin(*".。;；!?！？") & ~F.ltrim("title").rlike("^[a-z]")
     shape = F.regexp_replace(skeleton(F.regexp_replace("title", r"\b[0-9]+\b", "#")), r"[\s,.:;'’·\-—]+", "")
     edges = edges.withColumn("shape", F.when(candidate, shape))
     long_enough = F.length("shape") >= F.when(F.col("shape").rlike("[㐀-鿿]"), 2).otherwise(3)
