@@ -39,7 +39,7 @@ IDEOGRAPHS = (
 #: A form this many times rarer than the form that explains it is a misreading whatever its context.
 RARE = 0.03
 #: In context, a form must be this many times better supported to win.
-CONTEXT_RATIO = 8
+CONTEXT_RATIO = 3
 #: The most frequent forms that are surely right are passed over early; a bound on what is sent, the others are looked up.
 STOP_FORMS = 2_000
 MARKS = "\\-‐­¬"
@@ -85,10 +85,11 @@ def _notations(spark: SparkSession) -> DataFrame:
     return df.withColumn("roman", skeleton(F.col("roman")))
 
 
-def page_lines(pages: DataFrame) -> DataFrame:
+def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     """One row per line of each distinct page: its kind (the fences before a line tell whether it lies in a block), its place among the lines with text from the top and from the
     bottom (4 for all beyond the third), the last word of the line before and the first word of the line after (of
-    words longer than 48 characters only that much)."""
+    words longer than 48 characters only that much). ``every_line=False`` leaves out what the search for noise never
+    looks at: blank lines, and lines off the edges that are no running text."""
     kept = pages.select("page_id", "raw_text").filter("raw_text is not null and page_id is not null")
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
     is_fence = lambda x: F.ltrim(x).startswith("```") | (F.rtrim(x) == "$$")
@@ -98,12 +99,12 @@ def page_lines(pages: DataFrame) -> DataFrame:
     tail = lambda c: F.substring(F.substring_index(F.rtrim(c), " ", -1), -48, 48)
     head = lambda c: F.substring(F.substring_index(F.ltrim(c), " ", 1), 1, 48)
     place = lambda c: F.nullif(F.array_position(c, (F.col("pos") + 1).cast("int")), F.lit(0))
-    rows = rows.select(
-        "page_id", (F.col("pos") + 1).alias("line_no"), F.rtrim("text").alias("text"),
-        tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0)))).alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"),
-        F.coalesce(place("first"), F.lit(4)).cast("int").alias("top"), (F.size("last") + 1 - F.coalesce(place("last"), F.size("last") - 3)).cast("int").alias("bottom"),
-        F.when(F.size("fences") > 0, is_fence(F.col("text")) | (F.size(F.filter("fences", lambda i: i <= F.col("pos") + 1)) % 2 == 1)).alias("in_block"),
-    )
+    rows = rows.withColumns({
+        "text": F.rtrim("text"),
+        "top": F.coalesce(place("first"), F.lit(4)).cast("int"),
+        "bottom": (F.size("last") + 1 - F.coalesce(place("last"), F.size("last") - 3)).cast("int"),
+        "in_block": F.when(F.size("fences") > 0, is_fence(F.col("text")) | (F.size(F.filter("fences", lambda i: i <= F.col("pos") + 1)) % 2 == 1)),
+    })
     t = F.col("text")
     kind = (
         F.when(F.ltrim(t) == "", "blank")
@@ -114,7 +115,11 @@ def page_lines(pages: DataFrame) -> DataFrame:
         .when(t.rlike("[a-zà-ÿ㐀-鿿]"), "prose")
         .otherwise("other")
     )
-    return rows.select("page_id", "line_no", "text", "before", "after", "top", "bottom", kind.alias("kind"))
+    rows = rows.withColumn("kind", kind)
+    if not every_line:
+        rows = rows.filter("kind <> 'blank' and (kind in ('prose', 'list') or top <= 3 or bottom <= 3)")
+    before = tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0))))
+    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind")
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -287,8 +292,8 @@ def suspects(counts: DataFrame) -> DataFrame:
 
 
 def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Body prose lines with a surely misread word or number (``page_id, line_no``); the occurrences of forms that have
-    rivals, for :func:`in_context`; and the rivals (``form, other``).
+    """Body prose lines with a surely misread word or number (``page_id, line_no, form, meant``); the occurrences of forms
+    that have rivals, for :func:`in_context`; and the rivals (``form, other``).
 
     ``raw`` are the forms of the distinct pieces (:func:`raw_forms`), ``counts`` those of the forms.
     """
@@ -316,21 +321,22 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))
     here = here.select("page_id", "line_no", "form", "judged", "meant", near(F.col("i"), before, -1).alias("p"), near(F.col("i") + 2, after, 1).alias("q"), F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("below"))
     # a broken word is judged whole, at both of its lines; only the half with the wrong character counts
-    ends = prose.filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.try_element_at(_words(F.substring_index("text", " ", -1)), F.lit(-1)).alias("a"), F.try_element_at(_words(after), F.lit(1)).alias("b"), F.lit(True).alias("first"))
-    cuts = prose.filter(_hyphen_end(before) & _ends_cut(F.col("before"))).select("page_id", "line_no", F.try_element_at(_words(before), F.lit(-1)).alias("a"), F.try_element_at(_words(F.substring_index(F.ltrim("text"), " ", 1)), F.lit(1)).alias("b"), F.lit(False).alias("first"))
+    body = lines.filter("kind = 'prose'")
+    ends = body.filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.try_element_at(_words(F.substring_index("text", " ", -1)), F.lit(-1)).alias("a"), F.try_element_at(_words(after), F.lit(1)).alias("b"), F.lit(True).alias("first"))
+    cuts = body.filter(_hyphen_end(before) & _ends_cut(F.col("before"))).select("page_id", "line_no", F.try_element_at(_words(before), F.lit(-1)).alias("a"), F.try_element_at(_words(F.substring_index(F.ltrim("text"), " ", 1)), F.lit(1)).alias("b"), F.lit(False).alias("first"))
     whole = ends.unionAll(cuts).withColumn("form", F.concat("a", "b")).join(odd.filter("not judged"), F.col("form") == F.col("_o"))
     n_a = F.length("a")
     whole = whole.select("page_id", "line_no", "form", "judged", "meant", F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("q"), F.when(~F.col("first"), n_a).alias("least"), F.when(F.col("first"), n_a).alias("below"))
     tokens = stored(here.unionAll(whole), "tokens")
     same = F.length(F.regexp_extract(F.concat_ws("\n", "form", "meant"), r"(?s)^(.*).*\n\1", 1))
     right_half = F.when(F.col("below").isNotNull(), same < F.col("below")).when(F.col("least").isNotNull(), same >= F.col("least")).otherwise(F.lit(True))
-    hit = tokens.filter(~F.col("judged") & right_half).select("page_id", "line_no")
+    hit = tokens.filter(~F.col("judged") & right_half).select("page_id", "line_no", "form", "meant")
     mask = lambda c: F.when(F.col(c).rlike("^[0-9]+$"), "#").otherwise(F.col(c))
     return hit, tokens.filter("judged").select("page_id", "line_no", "form", mask("p").alias("p"), mask("q").alias("q")), rivals
 
 
 def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
-    """``page_id, line_no`` of occurrences whose neighbours speak for a rival form.
+    """``page_id, line_no, form, p, q, meant`` of occurrences whose neighbours speak for a rival form.
 
     ``occurrences``: ``page_id, line_no, form, p, q`` with the neighbours ``p`` and ``q``. A rival must be
     ``CONTEXT_RATIO`` times better supported between the same neighbours; where it never stands between both,
@@ -347,17 +353,23 @@ def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
     cand = cand.join(r3, ["p", "other", "q"], "left").join(rl, ["p", "other"], "left").join(rr, ["other", "q"], "left").join(left, ["p", "form"], "left").join(right, ["form", "q"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     wins = F.when(z("o3") > 0, z("o3") >= CONTEXT_RATIO * F.col("n3")).otherwise((F.least(z("ol"), z("orr")) > 0) & (z("ol") + z("orr") >= CONTEXT_RATIO * (F.col("nl") + F.col("nr") - 2 * F.col("n3") + 1)))
-    bad = cand.filter(wins).select("p", "form", "q").distinct()
-    return occurrences.join(bad, ["p", "form", "q"], "left_semi").select("page_id", "line_no")
+    bad = cand.filter(wins).groupBy("p", "form", "q").agg(F.max_by("other", F.struct(z("o3"), z("ol") + z("orr"), F.col("other"))).alias("meant"))
+    return occurrences.join(bad, ["p", "form", "q"]).select("page_id", "line_no", "form", "p", "q", "meant")
+
+
+def _codes() -> tuple[str, str]:
+    """The ideographs that have look-alikes, and a private code point for each."""
+    chars = sorted({c for pair in IDEOGRAPHS for c in pair})
+    return "".join(chars), "".join(chr(0xE000 + i) for i in range(len(chars)))
 
 
 def ideographs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Occurrences of ideographs that have look-alikes, with their neighbours, and the rivals (``form, other``)."""
-    chars = sorted({c for pair in IDEOGRAPHS for c in pair})
-    code = {c: chr(0xE000 + i) for i, c in enumerate(chars)}  # one range of code points, so that the pattern stays simple
+    chars, codes = _codes()
+    code = dict(zip(chars, codes))  # one range of code points, so that the pattern stays simple
     own = lines.filter("kind = 'prose'").filter(F.col("text").rlike("[㐀-鿿]"))
     near = lambda c, n: F.coalesce(F.when(F.length(F.trim(c)) > 0, F.substring(F.trim(c), n, 1)), F.lit("^"))
-    ctx = F.translate(F.concat(near("before", -1), F.trim("text"), near("after", 1)), "".join(chars) + "123456789", "".join(code.values()) + "0" * 9)
+    ctx = F.translate(F.concat(near("before", -1), F.trim("text"), near("after", 1)), chars + "123456789", codes + "0" * 9)
     found = own.select("page_id", "line_no", F.explode(F.regexp_extract_all(ctx, F.lit(f"(?=(.[{chr(0xE000)}-{chr(0xE000 + len(chars))}].))"), F.lit(1))).alias("c"))
     occ = found.select("page_id", "line_no", F.substring("c", 2, 1).alias("form"), F.substring("c", 1, 1).alias("p"), F.substring("c", 3, 1).alias("q"))
     return occ, lines.sparkSession.createDataFrame([(code[a], code[b]) for a, b in IDEOGRAPHS], "form string, other string")
@@ -391,9 +403,9 @@ def broken_words(lines: DataFrame, edge_lines: DataFrame, facts: DataFrame, nois
     return rows.filter(broken | end_of_page).select("page_id", "line_no", "one")
 
 
-def page_noise(pages: DataFrame) -> DataFrame:
-    """``page_id, line_no, noise`` for every noisy line and kind of noise."""
-    lines = stored(page_lines(pages), "lines")
+def _analysed(pages: DataFrame, every_line: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Lines, edge noise, sure misreadings, misreadings by context, broken words - of all pages."""
+    lines = stored(page_lines(pages, every_line), "lines")
     facts = stored(page_facts(pages), "facts")
     edge_lines = stored(lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind"), "edge_lines")
     edge = stored(edge_noise(edge_lines, facts), "edge")
@@ -401,8 +413,58 @@ def page_noise(pages: DataFrame) -> DataFrame:
     counts = stored(word_counts(raw), "counts")
     hit, words, rivals = misread_words(lines, raw, counts)
     signs, looks = ideographs(lines)
-    bad = hit.unionAll(in_context(words.unionAll(signs), rivals.unionAll(looks))).distinct()
-    broken = broken_words(lines, edge_lines, facts, edge, counts).select("page_id", "line_no")
-    found = stored(bad.withColumn("noise", F.lit("misread")).unionAll(broken.withColumn("noise", F.lit("broken_word"))), "found")
+    return lines, edge, hit, in_context(words.unionAll(signs), rivals.unionAll(looks)), broken_words(lines, edge_lines, facts, edge, counts)
+
+
+def page_noise(pages: DataFrame) -> DataFrame:
+    """``page_id, line_no, noise`` for every noisy line and kind of noise."""
+    _, edge, hit, judged, broken = _analysed(pages, every_line=False)
+    bad = hit.select("page_id", "line_no").unionAll(judged.select("page_id", "line_no")).distinct()
+    found = stored(bad.withColumn("noise", F.lit("misread")).unionAll(broken.select("page_id", "line_no", F.lit("broken_word").alias("noise"))), "found")
     found = found.join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
     return found.unionAll(edge.filter("noise <> 'title'")).distinct()
+
+
+def repaired_paragraphs(pages: DataFrame) -> DataFrame:
+    """``page_id, paragraph_no, kind, first_line, last_line, text, goes_on``: the continuous text of every page.
+
+    Headers and page numbers are left out, misread words and ideographs are replaced, broken words joined. A paragraph
+    is a run of lines of one kind without a blank line (SQL windows over the page); list items and headings stand alone,
+    tables and blocks keep their lines. ``goes_on``: prose that does not end a sentence.
+    """
+    lines, edge, hit, judged, broken = _analysed(pages, every_line=True)
+    chars, codes = _codes()
+    sign = F.col("form").rlike("[\ue000-\uf8ff]")
+    real = lambda c: F.translate(c, codes, chars)
+    by_left = F.col("p") != "^"
+    read = F.when(sign, F.when(by_left, F.concat("p", "form")).otherwise(F.concat("form", "q"))).otherwise(F.col("form"))
+    true = F.when(sign, F.when(by_left, F.concat("p", "meant")).otherwise(F.concat("meant", "q"))).otherwise(F.col("meant"))
+    fixes = hit.select("page_id", "line_no", F.col("form").alias("read"), F.col("meant").alias("true"), F.lit(False).alias("sign"))
+    fixes = fixes.unionAll(judged.select("page_id", "line_no", real(read).alias("read"), real(true).alias("true"), sign.alias("sign"))).filter("true is not null")
+    fixes = fixes.groupBy("page_id", "line_no").agg(F.array_sort(F.collect_set(F.struct("read", "true", "sign"))).alias("fixes"))
+    gone = edge.filter("noise <> 'title'").select("page_id", "line_no").distinct()
+    rows = lines.select("page_id", "line_no", "text", "kind").join(gone, ["page_id", "line_no"], "left_anti").join(fixes, ["page_id", "line_no"], "left")
+    rows = rows.join(broken.select("page_id", "line_no", F.lit(True).alias("broken")).distinct(), ["page_id", "line_no"], "left")
+
+    def mend(t: Column, f: Column) -> Column:
+        whole = lambda x, y: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}|])\Q"), x, F.lit(r"\E(?![\p{L}\p{N}|])")), y)
+        low = whole(f["read"], f["true"])
+        t_cap = F.regexp_replace(low, F.concat(F.lit(r"(?<![\p{L}\p{N}|])(?i)\Q"), f["read"], F.lit(r"\E(?![\p{L}\p{N}|])")), F.concat(F.upper(F.substring(f["true"], 1, 1)), F.substring(f["true"], F.lit(2), F.length(f["true"]))))
+        return F.when(f["sign"], F.replace(t, f["read"], f["true"])).otherwise(t_cap)
+
+    text = F.when(F.col("fixes").isNotNull(), F.aggregate("fixes", F.col("text"), mend)).otherwise(F.col("text"))
+    rows = rows.select("page_id", "line_no", "kind", F.when(F.col("broken"), F.regexp_replace(text, f"[{MARKS}]$", _CUT)).otherwise(text).alias("text"))
+    w = W.partitionBy("page_id").orderBy("line_no")
+    before = F.lag("kind").over(w)
+    starts = (before.isNull() | (before != F.col("kind")) | F.col("kind").isin("list", "heading")).cast("int")
+    rows = rows.withColumn("starts", starts).withColumn("paragraph_no", F.sum("starts").over(w)).filter("kind <> 'blank'")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"])
+    out = rows.groupBy("page_id", "paragraph_no", "kind").agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"), parts.alias("parts"))
+    flow = F.array_join("parts", "\n")
+    flow = F.regexp_replace(flow, f"{_CUT}\\s*", "")  # a broken word goes on without a gap
+    flow = F.regexp_replace(flow, "(?<=[A-Za-z]-)\n(?=[a-z])", "")  # a hyphen of the word itself stays
+    flow = F.regexp_replace(flow, "(?<=[㐀-鿿，。；：、！？0-9])\n(?=[㐀-鿿，。；：、！？0-9])", "")
+    flow = F.regexp_replace(flow, "\\s*\n\\s*", " ")
+    text = F.when(F.col("kind").isin("table", "block", "other"), F.array_join("parts", "\n")).otherwise(F.trim(flow))
+    out = out.select("page_id", F.dense_rank().over(W.partitionBy("page_id").orderBy("paragraph_no")).alias("paragraph_no"), "kind", "first_line", "last_line", text.alias("text"))
+    return out.withColumn("goes_on", (F.col("kind") == "prose") & ~F.substring("text", -1, 1).isin(*".。!?！？:：;；\"”)）"))
