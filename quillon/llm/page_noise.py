@@ -40,8 +40,8 @@ IDEOGRAPHS = (
 RARE = 0.03
 #: In context, a form must be this many times better supported to win.
 CONTEXT_RATIO = 3
-#: The most frequent forms that are surely right are passed over early; a bound on what is sent, the others are looked up.
-STOP_FORMS = 2_000
+#: Bounds on what is sent to every task: all pieces to look at, or else the most frequent ones to pass over.
+MOST_SENT, STOP_FORMS = 200_000, 2_000
 MARKS = "\\-‐­¬"
 #: One mark for each stroke or shape class.
 _ONE = ("il1|ítfrvjecéœo0óòáas5gq9z2", "iiiiiiiiiicccCooooaassgggzz")
@@ -308,14 +308,16 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     judged = rivals.select("form").unionAll(rivals.select(F.col("other").alias("form"))).distinct()
     odd = rare.select(F.col("_rare").alias("_o"), "meant", F.lit(False).alias("judged")).unionAll(judged.select(F.col("form").alias("_o"), F.lit(None).cast("string").alias("meant"), F.lit(True).alias("judged")))
     odd_raw = stored(raw.join(odd, F.col("form") == F.col("_o")).select(F.col("raw").alias("_raw"), "form", "meant", "judged").distinct(), "odd")
-    # pieces that are surely right: the most frequent ones without such a form
-    stop = raw.select("raw", "n").distinct().join(odd_raw, F.col("raw") == F.col("_raw"), "left_anti").orderBy(F.col("n").desc(), "raw").limit(STOP_FORMS).select(F.col("raw").alias("_stop"))
     before, after, text = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.lower("text")
     prose = _latin(lines, ["prose"])
     pieces = prose.select("page_id", "line_no", "before", "after", F.split(text, " ").alias("w")).withColumn("n_w", F.size("w"))
     pieces = pieces.select("page_id", "line_no", "before", "after", "w", "n_w", F.posexplode("w").alias("i", "raw"))
-    pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")  # at most STOP_FORMS rows
-    pieces = pieces.join(odd_raw, F.col("raw") == F.col("_raw"))
+    small = broadcast_if_small(odd_raw, MOST_SENT)
+    if small is odd_raw:
+        # too many to send: first drop the most frequent pieces that are surely right, of which a bounded number is sent
+        stop = raw.select("raw", "n").distinct().join(odd_raw, F.col("raw") == F.col("_raw"), "left_anti").orderBy(F.col("n").desc(), "raw").limit(STOP_FORMS).select(F.col("raw").alias("_stop"))
+        pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")
+    pieces = pieces.join(small, F.col("raw") == F.col("_raw"))
     here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_hyphen_end(F.col("before")) & _ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.col("n_w") - 1) & _hyphen_end(F.col("raw")) & _ends_cut(F.col("raw"))))
     word = lambda c, n: F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^"))
     near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))

@@ -41,3 +41,25 @@ def test_pages(spark):
 
 def test_empty(spark):
     assert page_noise(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_both_ways_to_the_pieces_agree(spark, monkeypatch):
+    import quillon.llm.page_noise as m
+
+    rows = [page(i, f"Notes from the Bench\n\n{BODY}\n{BODY.replace('morning', 'rnorning') if i == 3 else BODY}\n\n{10 + i}", 10 + i) for i in range(2, 12)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    few = {tuple(r) for r in page_noise(df).collect()}
+    monkeypatch.setattr(m, "MOST_SENT", 0)
+    assert {tuple(r) for r in page_noise(df).collect()} == few and (f"b:c:{3:04d}", 8, "misread") in few
+
+
+def test_paragraphs(spark):
+    from quillon.llm.page_noise import repaired_paragraphs
+
+    rows = [page(i, f"Notes from the Bench\n\n{BODY.replace('senior technician', 'senior tech-' + chr(10) + 'nician') if i == 4 else BODY}\n\n| a | b |\n| c | d |\n1) one\n2) two\n{10 + i}", 10 + i) for i in range(2, 12)]
+    rows[3] = page(5, f"Notes from the Bench\n\n{BODY.replace('morning', 'rnorning')}\n15", 15)
+    out = {(int(r.page_id[-4:]), r.paragraph_no): r for r in repaired_paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()}
+    flowing = BODY.replace("\n", " ")
+    assert out[(2, 1)].text == out[(4, 1)].text == out[(5, 1)].text == flowing and not out[(2, 1)].goes_on
+    assert out[(2, 2)].text == "| a | b |\n| c | d |" and [out[(2, k)].text for k in (3, 4)] == ["1) one", "2) two"]
+    assert (5, 2) not in out
