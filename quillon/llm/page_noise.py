@@ -323,10 +323,12 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))
     here = here.select("page_id", "line_no", "form", "judged", "meant", near(F.col("i"), before, -1).alias("p"), near(F.col("i") + 2, after, 1).alias("q"), F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("below"))
     # a broken word is judged whole, at both of its lines; only the half with the wrong character counts
-    body = lines.filter("kind = 'prose'")
-    ends = body.filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.try_element_at(_words(F.substring_index("text", " ", -1)), F.lit(-1)).alias("a"), F.try_element_at(_words(after), F.lit(1)).alias("b"), F.lit(True).alias("first"))
-    cuts = body.filter(_hyphen_end(before) & _ends_cut(F.col("before"))).select("page_id", "line_no", F.try_element_at(_words(before), F.lit(-1)).alias("a"), F.try_element_at(_words(F.substring_index(F.ltrim("text"), " ", 1)), F.lit(1)).alias("b"), F.lit(False).alias("first"))
-    whole = ends.unionAll(cuts).withColumn("form", F.concat("a", "b")).join(odd.filter("not judged"), F.col("form") == F.col("_o"))
+    last_word, first_word = lambda c: F.try_element_at(_words(c), F.lit(-1)), lambda c: F.try_element_at(_words(c), F.lit(1))
+    ends = F.when(_hyphen_end(F.col("text")) & _ends_cut(F.col("text")), F.struct(last_word(F.substring_index("text", " ", -1)).alias("a"), first_word(after).alias("b"), F.lit(True).alias("first")))
+    cuts = F.when(_hyphen_end(before) & _ends_cut(F.col("before")), F.struct(last_word(before).alias("a"), first_word(F.substring_index(F.ltrim("text"), " ", 1)).alias("b"), F.lit(False).alias("first")))
+    halves = lines.filter("kind = 'prose'").filter(_hyphen_end(F.col("text")) | _hyphen_end(before))
+    whole = halves.select("page_id", "line_no", F.explode(F.array_compact(F.array(ends, cuts))).alias("h")).select("page_id", "line_no", "h.*")
+    whole = whole.withColumn("form", F.concat("a", "b")).join(odd.filter("not judged"), F.col("form") == F.col("_o"))
     n_a = F.length("a")
     whole = whole.select("page_id", "line_no", "form", "judged", "meant", F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("q"), F.when(~F.col("first"), n_a).alias("least"), F.when(F.col("first"), n_a).alias("below"))
     tokens = stored(here.unionAll(whole), "tokens")
@@ -381,9 +383,9 @@ def broken_words(lines: DataFrame, edge_lines: DataFrame, facts: DataFrame, nois
     """``page_id, line_no, one`` of lines that end inside a word, with the whole word."""
     ends = lines.filter("kind in ('prose', 'list')").filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.substring_index("text", " ", -1).alias("text"), "after")
     # first and last line of running text of each page, past headers and numbers
-    edges = edge_lines.join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
-    body = edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")).join(facts.select("page_id", "document_id", "chapter_id", "chapter_page_index"), "page_id")
-    following = body.select(F.col("document_id").alias("_d"), F.col("chapter_id").alias("_c"), (F.col("chapter_page_index") - 1).alias("_i"), F.substring_index(F.ltrim("f.text"), " ", 1).alias("next_text"))
+    edges = edge_lines.select("page_id", "line_no", F.substring(F.substring_index(F.ltrim("text"), " ", 1), 1, 48).alias("text")).join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
+    body = stored(edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")).join(facts.select("page_id", "document_id", "chapter_id", "chapter_page_index"), "page_id"), "body")
+    following = body.select(F.col("document_id").alias("_d"), F.col("chapter_id").alias("_c"), (F.col("chapter_page_index") - 1).alias("_i"), F.col("f.text").alias("next_text"))
     tail = body.select(F.col("page_id").alias("_p"), "last_line", "document_id", "chapter_id", "chapter_page_index")
     tail = tail.join(following, (F.col("document_id") == F.col("_d")) & (F.col("chapter_id") == F.col("_c")) & (F.col("chapter_page_index") == F.col("_i")), "left").select("_p", "last_line", "next_text")
     rows = ends.join(tail, F.col("page_id") == F.col("_p"), "left")
