@@ -28,14 +28,15 @@ def is_any(cols: Sequence[Column], values: list[tuple]) -> Column:
     return reduce(lambda a, b: a | b, (reduce(lambda a, b: a & b, (c == F.lit(x) for c, x in zip(cols, v))) for v in values))
 
 
-def lookup_join(rows: DataFrame, keyed: DataFrame, row_keys: Sequence[str], keys: Sequence[str], how: str = "left") -> DataFrame:
+def lookup_join(rows: DataFrame, keyed: DataFrame, row_keys: Sequence[str], keys: Sequence[str], how: str = "left", hot: list[tuple] | None = None) -> DataFrame:
     """Join ``rows`` to ``keyed``, which has one row per key.
 
     The rows of hot keys meet a broadcast of at most ``HOT_KEYS`` rows of ``keyed``; all others take the shuffle join,
-    so no task gets a hot key's rows. Null keys match nothing. The column names of both sides must differ.
+    so no task gets a hot key's rows. Null keys match nothing. The column names of both sides must differ. ``hot`` are
+    the hot keys where the caller has them already (:func:`hot_keys`).
     """
     on = reduce(lambda a, b: a & b, (F.col(r) == F.col(k) for r, k in zip(row_keys, keys)))
-    hot = hot_keys(rows.dropna(subset=list(row_keys)), row_keys)
+    hot = hot_keys(rows.dropna(subset=list(row_keys)), row_keys) if hot is None else hot
     if not hot:
         return rows.join(keyed, on, how)
     of_rows = F.coalesce(is_any([F.col(r) for r in row_keys], hot), F.lit(False))
