@@ -94,7 +94,7 @@ def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
     is_fence = lambda x: F.ltrim(x).startswith("```") | (F.rtrim(x) == "$$")
     full = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.ltrim(F.element_at("lines", i)) != "")
-    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", -F.least(F.lit(3), F.size("full")), F.least(F.lit(3), F.size("full"))).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
+    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", F.when(F.size("full") > 0, -F.least(F.lit(3), F.size("full"))).otherwise(1), F.lit(3)).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
     rows = once.select("page_id", "lines", "first", "last", "fences", F.posexplode("lines").alias("pos", "text"))
     tail = lambda c: F.substring(F.substring_index(F.rtrim(c), " ", -1), -48, 48)
     head = lambda c: F.substring(F.substring_index(F.ltrim(c), " ", 1), 1, 48)
@@ -179,7 +179,7 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
         .otherwise(F.col("text"))
     )
     edges = edges.select("page_id", "document_id", "chapter_id", "chapter_page_index", "line_no", "top", "bottom", "kind", (F.col("is_alone") | F.col("is_first") | F.col("is_last")).alias("numbered"), F.when(title.startswith("#"), F.regexp_replace(title, r"^#+\s*", "")).otherwise(title).alias("title"))
-    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.substring("title", -1, 1).isin(*".。;；!?！？") & ~F.ltrim("title").rlike("^[a-z]")
+    candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.substring("title", -1, 1).isin(*".。;；!?！？") & ~F.ltrim("title").rlike("^[a-z]") & ~_hyphen_end(F.col("title"))
     shape = F.regexp_replace(skeleton(F.regexp_replace("title", r"\b[0-9]+\b", "#")), r"[\s,.:;'’·\-—]+", "")
     edges = edges.withColumn("shape", F.when(candidate, shape))
     long_enough = F.length("shape") >= F.when(F.col("shape").rlike("[㐀-鿿]"), 2).otherwise(3)

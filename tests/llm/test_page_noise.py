@@ -56,10 +56,11 @@ def test_both_ways_to_the_pieces_agree(spark, monkeypatch):
 def test_paragraphs(spark):
     from quillon.llm.page_noise import repaired_paragraphs
 
-    rows = [page(i, f"Notes from the Bench\n\n{BODY.replace('senior technician', 'senior tech-' + chr(10) + 'nician') if i == 4 else BODY}\n\n| a | b |\n| c | d |\n1) one\n2) two\n{10 + i}", 10 + i) for i in range(2, 12)]
-    rows[3] = page(5, f"Notes from the Bench\n\n{BODY.replace('morning', 'rnorning')}\n15", 15)
+    # every page begins with a line of its own, else its first line would repeat through the book like a header
+    rows = [page(i, f"Notes from the Bench\n\nIt was begun by {'abcdefghijkl'[i]}.\n{BODY.replace('senior technician', 'senior tech-' + chr(10) + 'nician') if i == 4 else BODY}\n\n| a | b |\n| c | d |\n1) one\n2) two\n{10 + i}", 10 + i) for i in range(2, 12)]
+    rows[3] = page(5, f"Notes from the Bench\n\nIt was begun by f.\n{BODY.replace('morning', 'rnorning')}\n15", 15)
     out = {(int(r.page_id[-4:]), r.paragraph_no): r for r in repaired_paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()}
     flowing = BODY.replace("\n", " ")
-    assert out[(2, 1)].text == out[(4, 1)].text == out[(5, 1)].text == flowing and not out[(2, 1)].goes_on
+    assert [out[(i, 1)].text.split(". ", 1)[1] for i in (2, 4, 5)] == [flowing] * 3 and not out[(2, 1)].goes_on
     assert out[(2, 2)].text == "| a | b |\n| c | d |" and [out[(2, k)].text for k in (3, 4)] == ["1) one", "2) two"]
     assert (5, 2) not in out
