@@ -60,29 +60,58 @@ def _digits(text: Column, b: str = "8") -> Column:
     return F.translate(F.translate(F.lower(text), "０１２３４５６７８９", "0123456789"), "oilszgqb|í", f"0115299{b}11")
 
 
+_ROMAN = ((100, "cdm"), (10, "xlc"), (1, "ivx"))
+_CIPHERS = "零一二三四五六七八九"
+
+
+def _roman_digits(a: str, b: str, c: str) -> tuple[str, ...]:
+    return ("", a, a * 2, a * 3, a + b, b, b + a, b + a * 2, b + a * 3, a + c)
+
+
 def roman(n: int) -> str:
-    """Lower-case Roman numeral of a number below 1000."""
-    out = ""
-    for by, (a, b, c) in ((100, "cdm"), (10, "xlc"), (1, "ivx")):
-        out += ("", a, a * 2, a * 3, a + b, b, b + a, b + a * 2, b + a * 3, a + c)[n // by % 10]
-    return out
+    """Lower-case Roman numeral; the thousands are repeated."""
+    return "m" * (n // 1000) + "".join(_roman_digits(*abc)[n // by % 10] for by, abc in _ROMAN)
 
 
 def hanzi(n: int) -> str:
-    """Chinese numeral of a number below 1000."""
-    d = "零一二三四五六七八九"
-    hundreds, tens, ones = n // 100, n // 10 % 10, n % 10
-    out = d[hundreds] + "百" if hundreds else ""
-    out += "零" if hundreds and not tens and ones else ""
-    out += ("" if tens == 1 and not hundreds else d[tens]) + "十" if tens else ""
-    return out + (d[ones] if ones else "")
+    """Chinese numeral."""
+    out, nought = "", False
+    for by, unit in ((10**8, "亿"), (10**4, "万"), (1, "")):
+        group = n // by % 10**4
+        for k, sign in ((1000, "千"), (100, "百"), (10, "十"), (1, "")):
+            d = group // k % 10
+            if d:
+                out += ("零" if nought and out else "") + ("" if k == 10 and d == 1 and not out else _CIPHERS[d]) + sign
+            nought = not d
+        if group:
+            out, nought = out + unit, False
+    return out
 
 
-def _notations(spark: SparkSession) -> DataFrame:
-    """The notations of the page numbers from 1 to 999."""
-    rows = [(n, str(n), roman(n), hanzi(n), "".join("零一二三四五六七八九"[int(c)] for c in str(n))) for n in range(1, 1000)]
-    df = spark.createDataFrame(rows, "_n int, arabic string, roman string, hanzi string, ciphers string")
-    return df.withColumn("roman", skeleton(F.col("roman")))
+def _roman_shape(n: Column) -> Column:
+    """The skeleton of the Roman numeral of a number, which is the skeletons of its letters side by side."""
+    shape = lambda x: "".join({"l": "i", "v": "i", "d": "ci", "m": "iii"}.get(c, c) for c in x)
+    digits = [F.element_at(F.array(*[F.lit(shape(x)) for x in _roman_digits(*abc)]), F.pmod(F.floor(n / by), F.lit(10)).cast("int") + 1) for by, abc in _ROMAN]
+    # a line that is looked at has room for fewer than 100 letters, so a longer numeral stands nowhere
+    return F.concat(F.repeat(F.lit(shape("m")), F.least(F.floor(n / 1000), F.lit(100)).cast("int")), *digits)
+
+
+def _hanzi_of(n: Column) -> Column:
+    """The Chinese numeral of a number: every digit gets its sign, then the noughts are joined or dropped."""
+    width = 12
+    padded = F.lpad(n.cast("string"), width, "0")
+    signs = ("千百十亿", "千百十万", "千百十")
+    sign = [(signs[i // 4] + " ")[i % 4].strip() for i in range(width)]
+    out = F.concat(*[F.when(F.substring(padded, i + 1, 1) == "0", F.lit("零" + (sign[i] if sign[i] in ("亿", "万") else ""))).otherwise(F.concat(F.translate(F.substring(padded, i + 1, 1), "0123456789", _CIPHERS), F.lit(sign[i]))) for i in range(width)])
+    for pattern, by in (("^[亿万零]+", ""), ("零+亿", "亿"), ("亿零+万", "亿零"), ("零+万", "万"), ("零+", "零"), ("零$", ""), ("^一十", "十")):
+        out = F.regexp_replace(out, pattern, by)
+    return out
+
+
+def _notations(n: Column) -> dict[str, Column]:
+    """The notations of a page number, null below 1."""
+    own = F.when(n >= 1, n)
+    return {"arabic": own.cast("string"), "roman": F.when(n >= 1, _roman_shape(n)), "hanzi": _hanzi_of(own), "ciphers": F.translate(own.cast("string"), "0123456789", _CIPHERS)}
 
 
 def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
@@ -136,7 +165,9 @@ def _place(rows: DataFrame, keyed: DataFrame, row_keys: list[str], keys: list[st
     return rows.join(small, [F.col(r) == F.col(k) for r, k in zip(row_keys, keys)], "left")
 
 
-_NUM = r"[\[(（【·.\-—–\s]*(?:第|p\.?|page)?\s*([0-9０-９A-Za-z|í一二三四五六七八九十百零〇]{1,8})\s*(?:页|頁)?[\])）】·.\-—–\s]*"
+_NUM = r"[\[(（【·.\-—–\s]*(?:第|p\.?|page)?\s*([0-9０-９A-Za-z|í一二三四五六七八九十百千万亿零〇]{1,8})\s*(?:页|頁)?[\])）】·.\-—–\s]*"
+#: The same for notations of more than 8 characters (Roman from 188, Chinese from 10,001).
+_LONG = _NUM.replace("{1,8}", "{9,48}")
 
 
 def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
@@ -152,10 +183,13 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     first = F.when(parted, F.regexp_extract(F.lower(t), r"^" + _NUM + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)).otherwise("")
     last = F.when(parted, F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _NUM + "$", 1)).otherwise("")
     outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
-    outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
+    long_alone = F.when(F.length(t) <= 64, F.regexp_extract(F.lower(t), "^" + _LONG + "$", 1)).otherwise("")
+    long_first = F.when(parted, F.regexp_extract(F.lower(t), "^" + _LONG + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)).otherwise("")
+    long_last = F.when(parted, F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _LONG + "$", 1)).otherwise("")
     edges = edges.select(
         "page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number", "line_no", "top", "bottom", "kind", t.alias("text"),
         F.when(outer, alone).alias("alone"), F.when(outer & (alone == ""), first).alias("first"), F.when(outer & (alone == ""), last).alias("last"),
+        F.when(outer, long_alone).alias("long_alone"), F.when(outer & (alone == ""), long_first).alias("long_first"), F.when(outer & (alone == ""), long_last).alias("long_last"),
     )
     edges = stored(edges, "edges")
     number = F.coalesce(*[F.when(F.col(c).rlike("^[0-9]+$"), F.col(c).try_cast("int")) for c in ("alone", "first", "last")])
@@ -164,13 +198,15 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     offsets = offsets.groupBy("document_id").agg(F.max(F.struct("count", -F.col("offset"), "offset")).alias("o")).select(F.col("document_id").alias("_d"), F.col("o.offset").alias("offset"))
     edges = _place(edges, offsets, ["document_id"], ["_d"]).drop("_d")
     edges = edges.withColumn("n", F.coalesce(F.col("printed_page_number"), F.col("source_pdf_page_number") - F.col("offset")))
-    edges = edges.join(F.broadcast(_notations(edges.sparkSession)), F.col("n") == F.col("_n"), "left")  # 999 rows
+    found = F.concat_ws(" ", "alone", "first", "last", "long_alone", "long_first", "long_last")
+    needed = {"hanzi": "[一二三四五六七八九十]", "ciphers": "[一二三四五六七八九零〇]"}  # others are spared the work
+    edges = edges.withColumns({k: F.when(found.rlike(needed.get(k, r"\S")), x) for k, x in _notations(F.col("n")).items()})
     shape = lambda c: skeleton(F.col(c))
     is_number = {
         c: F.coalesce((F.col(c) != "") & ((_digits(F.col(c)) == F.col("arabic")) | (_digits(F.col(c), "6") == F.col("arabic")) | (shape(c) == F.col("roman")) | (F.translate(c, "〇", "零") == F.col("hanzi")) | (F.translate(c, "〇", "零") == F.col("ciphers"))), F.lit(False))
-        for c in ("alone", "first", "last")
+        for c in ("alone", "first", "last", "long_alone", "long_first", "long_last")
     }
-    edges = edges.withColumns({f"is_{c}": x for c, x in is_number.items()})
+    edges = edges.withColumns({f"is_{c}": is_number[c] | is_number[f"long_{c}"] for c in ("alone", "first", "last")})
     digit_like = lambda c: F.coalesce((F.col(c) != "") & F.col(c).rlike("[0-9]") & _digits(F.col(c)).rlike("^[0-9]+$"), F.lit(False))
     title = (
         F.when(F.col("is_first") | digit_like("first"), F.regexp_replace("text", r"^\S+(?:\s{2,}|\t|\s*\|\s*)", ""))

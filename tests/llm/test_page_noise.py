@@ -64,3 +64,25 @@ def test_paragraphs(spark):
     assert [out[(i, 1)].text.split(". ", 1)[1] for i in (2, 4, 5)] == [flowing] * 3 and not out[(2, 1)].goes_on
     assert out[(2, 2)].text == "| a | b |\n| c | d |" and [out[(2, k)].text for k in (3, 4)] == ["1) one", "2) two"]
     assert (5, 2) not in out
+
+
+def test_notations_have_no_largest_number(spark):
+    from pyspark.sql import functions as F
+
+    from quillon.llm.page_noise import _notations, skeleton
+
+    assert (hanzi(1008), hanzi(1010), hanzi(1234), hanzi(10203), hanzi(101000)) == ("一千零八", "一千零一十", "一千二百三十四", "一万零二百零三", "十万一千") and roman(1944) == "mcmxliv"
+    ns = [*range(1, 3200), 9999, 10000, 10010, 12345, 20034, 99999, 100200, 101000, 100000001, 2147483647]
+    df = spark.createDataFrame([(n, hanzi(n), roman(n) if n < 99999 else None) for n in ns], "n int, h string, r string")
+    out = df.withColumns(_notations(F.col("n"))).withColumn("s", skeleton(F.col("r")))
+    assert out.filter("not (arabic = cast(n as string) and hanzi = h and (s is null or roman = s))").count() == 0
+    assert spark.createDataFrame([(0,), (-3,), (None,)], "n int").withColumns(_notations(F.col("n"))).filter("coalesce(arabic, roman, hanzi, ciphers) is not null").count() == 0
+
+
+def test_pages_beyond_999(spark):
+    text = {1000: "m", 1001: "一千零一", 1002: "1OO2", 1003: "一〇〇三", 1004: "- 1004 -", 1005: "mv", 1838: "mdcccxxxviii", 288: "cclxxxviii", 1888: "MDCCCLXXXVIII  Notes from the Bench", 12345: "第一万二千三百四十五页"}
+    rows = [page(i, f"It was begun by {i}.\n{BODY}\n{x}" if "  " not in x else f"{x}\nIt was begun by {i}.\n{BODY}", n) for i, (n, x) in enumerate(text.items(), 2)]
+    rows += [page(20 + i, f"Notes from the Bench\nIt was begun by {i}.\n{BODY}\nmv", 2000 + i) for i in range(3)]
+    out = {(int(r.page_id[-4:]), r.noise) for r in page_noise(spark.createDataFrame(rows, SCHEMA)).collect() if r.noise in ("page_number", "running_header")}
+    assert {i for i, x in out if x == "page_number"} == set(range(2, 12))
+    assert (10, "running_header") in out
