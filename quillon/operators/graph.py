@@ -41,7 +41,8 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 40) -> DataFram
     """``node, component``: the smallest node of each connected component.
 
     ``nodes`` has ``node``, ``links`` has ``a, b``. Each round alternates large-star and small-star steps, so the number
-    of rounds grows with the logarithm of the diameter and a hub's links are re-hung rather than multiplied.
+    of rounds grows with the logarithm of the diameter and a hub's links are re-hung rather than multiplied. Links that
+    are not merged after ``rounds`` are an error.
     """
     e = checkpointed(links.filter("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(rounds):
@@ -57,6 +58,8 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 40) -> DataFram
         e = new
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components not merged after {rounds} rounds")
     return nodes.select("node").distinct().join(e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("c")), "node", "left").select("node", F.coalesce("c", "node").alias("component"))
 
 

@@ -77,6 +77,13 @@ def agg23_components(spark: SparkSession, d: str) -> DataFrame:
     return components(ends, links)
 
 
+def agg23_all_components(spark: SparkSession, d: str) -> DataFrame:
+    """Connected components of all edges, whatever their layer."""
+    links = _edges(spark, d).select(F.col("subject_id").alias("a"), F.col("object_id").alias("b"))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).filter("node is not null")
+    return components(ends, links)
+
+
 def grf20_final(spark: SparkSession, d: str) -> DataFrame:
     """Final projection: live approved-free triples with both ends alive, predicates renamed, new triple ids."""
     n = live_nodes(spark, d).select("node_id")
@@ -148,5 +155,5 @@ select distinct name, parent from s where parent <> '' and parent <> name and pa
 SQL["val31_vectors"] = """with v as (select list_transform(json_keys(vector_json), lambda k: (vector_json::json->>k)::double) w from (select distinct chunk_id, vector_json from vectors))
 select case when coalesce(len(w), 0) = 0 then 'empty' when list_min(w) < 0 then 'negative' when abs(sqrt(list_sum(list_transform(w, lambda x: x * x))) - 1) > 2e-11 then 'not_unit' else 'ok' end state, count(*) n_vectors from v group by 1"""
 QUERIES = {f.__name__: f for f in (
-    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_components, grf20_final, grf25_is_a, val30_hydrate, val31_vectors,
+    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_components, agg23_all_components, grf20_final, grf25_is_a, val30_hydrate, val31_vectors,
 )}
