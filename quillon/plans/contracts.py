@@ -106,6 +106,13 @@ def fn25_grounding(spark: SparkSession, d: str) -> DataFrame:
     return c.filter("size(nums) > 0").select("chunk_id", F.size("nums").alias("n_numbers"), F.forall("nums", lambda x: F.contains(F.col("rest"), x)).alias("grounded"))
 
 
+def fn25_all_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every number of a chunk, on any of its lines, stands in the rest of its page."""
+    p = _pages(spark, d).select("page_id", "cleaned_text").filter("cleaned_text is not null")
+    c = chunks(spark, d).join(p, "page_id").select("chunk_id", F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)).alias("nums"), F.replace("cleaned_text", F.col("text"), F.lit("")).alias("rest"))
+    return c.filter("size(nums) > 0").select("chunk_id", F.size("nums").alias("n_numbers"), F.forall("nums", lambda x: F.contains(F.col("rest"), x)).alias("grounded"))
+
+
 def fn22_endpoint_keys(spark: SparkSession, d: str) -> DataFrame:
     """Node names by their letters and digits only: how many names share a key."""
     k = F.regexp_replace(F.lower("name"), r"[^\p{L}\p{N}]", "")
@@ -228,6 +235,8 @@ select case when o is null and i is null then 'isolated' when o is null then 'no
     "agg19_channels": f"""with {CH}, {_E}, {_CJ}, g as (select distinct chunk_id from cj where chunk_id is not null), v as (select distinct chunk_id from vectors where chunk_id is not null)
 select document_id, count(g.chunk_id) n_graph, count(v.chunk_id) n_vector, count(*) filter (g.chunk_id is not null and v.chunk_id is not null) n_both from ch left join g on g.chunk_id = ch.chunk_id left join v on v.chunk_id = ch.chunk_id group by 1""",
     "fn25_grounding": f"""with {CH}, p as (select page_id, any_value(cleaned_text) t from page_text where cleaned_text is not null group by 1), c as (select chunk_id, regexp_extract_all(string_split(text, chr(10))[1], '[0-9]+') nums, replace(t, text, '') rest from ch join p using (page_id))
+select chunk_id, len(nums)::int n_numbers, len(list_filter(nums, lambda x: not contains(rest, x))) = 0 grounded from c where len(nums) > 0""",
+    "fn25_all_numbers": f"""with {CH}, p as (select page_id, any_value(cleaned_text) t from page_text where cleaned_text is not null group by 1), c as (select chunk_id, regexp_extract_all(text, '[0-9]+') nums, replace(t, text, '') rest from ch join p using (page_id))
 select chunk_id, len(nums)::int n_numbers, len(list_filter(nums, lambda x: not contains(rest, x))) = 0 grounded from c where len(nums) > 0""",
     "fn22_endpoint_keys": rf"with {ND} select regexp_replace(lower(name), '[^\p{{L}}\p{{N}}]', '', 'g') as key, count(distinct name) n_names, count(*) n_nodes from nd group by 1",
     "rul08_conditions": f"""with {_O}, s as (select report_id, case when not coalesce(unit in ('mmol/L', 'mmol/l'), false) then 'unit_mismatch' when ({_V}) is null then 'missing' when ({_V}) >= 7 then 'pass' else 'fail' end s from o where standard_name = 'Glucose')
@@ -251,6 +260,6 @@ select s as site_code, count(*) n, round(count(h) / count(*)::double, 6) coverag
     "match03_representatives": f"with {_CF} select standard_name, site_code, min(obs_id) first_obs, count(*) n from cf where fp = 1 group by 1, 2",
 }
 QUERIES = {f.__name__: f for f in (
-    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_line_pairs, join12_chains, grf24_completeness, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn22_endpoint_keys,
+    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_line_pairs, join12_chains, grf24_completeness, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn25_all_numbers, fn22_endpoint_keys,
     rul08_conditions, rul13_gaps, val10_occurrences, val20_duplicates, val33_minimal_quote, gld03_types, gld05_bases, gld17_supplement, exp01_replacement, exp03_groups, exp04_coverage, exp18_complete, match03_representatives,
 )}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quillon.functions.text import disjoint_count, overlapping_count
 from quillon.operators.graph import adjacency, bounded_search, components, constraint_violations, counts_by, replay_evidence, strongest_per_chunk, suffix_parents, upsert
 from quillon.plans.retrieval import CH, ND, chunks, live_nodes
 from quillon.sources.tables import table
@@ -41,6 +42,23 @@ def join09_evidence(spark: SparkSession, d: str) -> DataFrame:
     return replay_evidence(cited, chunks(spark, d)).groupBy("status").agg(F.count(F.lit(1)).alias("n_citations"))
 
 
+def _quotes(spark: SparkSession, d: str) -> DataFrame:
+    """``triple_id, chunk_id, exact_quote, text``: the distinct quotes of the edges with the live chunk of the cited hash."""
+    q = _edges(spark, d).select("triple_id", F.explode(F.from_json("evidence_json", EV)).alias("v")).select("triple_id", "v.*").filter("exact_quote <> ''").distinct()
+    return q.join(chunks(spark, d).select("chunk_id", "chunk_sha256", "text").distinct(), ["chunk_id", "chunk_sha256"])
+
+
+def val06_unique_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Quotes of the edges that stand exactly once in their chunk, places without overlap counted."""
+    return _quotes(spark, d).filter(disjoint_count(F.col("text"), F.col("exact_quote")) == 1).select("triple_id", "chunk_id", "exact_quote", F.expr("locate(exact_quote, text)").alias("place"))
+
+
+def val07_quote_places(spark: SparkSession, d: str) -> DataFrame:
+    """How often the quotes of the edges stand in their chunk, overlapping places counted."""
+    n = F.when(F.contains("text", "exact_quote"), overlapping_count(F.col("text"), F.col("exact_quote"))).otherwise(0)
+    return _quotes(spark, d).select("triple_id", "chunk_id", "exact_quote", n.alias("n"))
+
+
 def agg06_counts(spark: SparkSession, d: str) -> DataFrame:
     """Histograms of the graph: node types, predicates, layers, origins."""
     n = counts_by(live_nodes(spark, d), {"node_type": F.col("node_type")})
@@ -154,6 +172,9 @@ select distinct name, parent from s where parent <> '' and parent <> name and pa
 }
 SQL["val31_vectors"] = """with v as (select list_transform(json_keys(vector_json), lambda k: (vector_json::json->>k)::double) w from (select distinct chunk_id, vector_json from vectors))
 select case when coalesce(len(w), 0) = 0 then 'empty' when list_min(w) < 0 then 'negative' when abs(sqrt(list_sum(list_transform(w, lambda x: x * x))) - 1) > 2e-11 then 'not_unit' else 'ok' end state, count(*) n_vectors from v group by 1"""
+_QT = f"{_E}, {CH}, {_CITE}, qt as (select distinct triple_id, c.chunk_id, q exact_quote, text from cited c join ch on ch.chunk_id = c.chunk_id and chunk_sha256 = h where q <> '')"
+SQL["val06_unique_quotes"] = f"with {_QT} select triple_id, chunk_id, exact_quote, instr(text, exact_quote)::int place from qt where length(text) - length(replace(text, exact_quote, '')) = length(exact_quote)"
+SQL["val07_quote_places"] = f"with {_QT} select triple_id, chunk_id, exact_quote, len(list_filter(range(1, length(text) + 1), lambda i: substr(text, i, length(exact_quote)) = exact_quote))::int n from qt"
 QUERIES = {f.__name__: f for f in (
-    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_components, agg23_all_components, grf20_final, grf25_is_a, val30_hydrate, val31_vectors,
+    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_components, agg23_all_components, grf20_final, grf25_is_a, val06_unique_quotes, val07_quote_places, val30_hydrate, val31_vectors,
 )}

@@ -98,11 +98,12 @@ def set07_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def match01_matching(spark: SparkSession, d: str) -> DataFrame:
-    """Per report a largest one-to-one matching of rows and terms whose name starts like the raw name."""
+    """Per report a largest one-to-one matching of rows and terms with the raw name as name, abbreviation or alias."""
     o = table(spark, d, "observation").select("report_id", "obs_id", "raw_name").distinct()
-    t = table(spark, d, "lab_term").select("term_id", F.explode(F.array_compact(F.array("standard_name", "abbreviation"))).alias("n"))
-    key = lambda c: F.substring(fold_case(F.col(c)), 1, 5)
-    pairs = o.withColumn("k", key("raw_name")).join(t.withColumn("k", key("n")), "k").select("report_id", F.col("obs_id").cast("string").alias("p"), F.col("term_id").alias("g"))
+    t = table(spark, d, "lab_term").select("term_id", F.explode(F.array_compact(F.concat(F.array("standard_name", "abbreviation"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("n"))
+    key = lambda c: fold_case(F.col(c)).alias("k")
+    names = t.select("term_id", key("n")).filter("k <> ''").distinct()
+    pairs = o.select("report_id", "obs_id", key("raw_name")).join(names, "k").select("report_id", F.col("obs_id").cast("string").alias("p"), F.col("term_id").alias("g"))
     return maximum_matching(pairs, "report_id")
 
 
