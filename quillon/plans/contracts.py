@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from quillon.functions.text import disjoint_count
 from quillon.operators.rules import decimal_of, evaluate_observations, select_case
 from quillon.operators.segments import lines_with_offsets
 from quillon.plans.documents import _FACTS, join31_facts
@@ -51,6 +52,16 @@ def join18_line_pairs(spark: SparkSession, d: str) -> DataFrame:
     return p.groupBy(F.least("word", "next").alias("a"), F.greatest("word", "next").alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def join18_all_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """All unordered pairs of different words on one line of a chunk, with the number of such lines."""
+    c = chunks(spark, d).select(F.col("chunk_id").alias("id"), "text")
+    head = F.substring("text", F.lit(1), F.col("start"))
+    s = _spans(spark, d).join(c, "id").select("id", "word", (F.length(head) - F.length(F.replace(head, F.lit("\n")))).alias("line"))
+    words = s.groupBy("id", "line").agg(F.collect_set("word").alias("ws")).filter("size(ws) > 1")  # of the dictionary only
+    pairs = F.flatten(F.transform("ws", lambda a: F.transform(F.filter("ws", lambda b: a < b), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return words.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+
+
 def join12_chains(spark: SparkSession, d: str) -> DataFrame:
     """Chains of a suggestion and a membership: how many lead to each panel-like end."""
     e = _edges(spark, d).filter("subject_id is not null and object_id is not null")
@@ -159,6 +170,19 @@ def val33_minimal_quote(spark: SparkSession, d: str) -> DataFrame:
     return b.select(F.col("id").alias("chunk_id"), F.col("b.n").alias("n"), F.col("b.start").alias("start"))
 
 
+def val33_all_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Per chunk and pair of different words the shortest stretch, then the first, that holds each of them exactly once."""
+    s = _spans(spark, d)
+    left = s.select("id", F.col("word").alias("a"), F.col("start").alias("sa"), F.col("end").alias("ea"))
+    right = s.select("id", F.col("word").alias("b"), F.col("start").alias("sb"), F.col("end").alias("eb"))
+    begin, stop = F.least("sa", "sb"), F.greatest("ea", "eb")
+    p = left.join(right, "id").filter("a < b").select("id", "a", "b", begin.alias("start"), (stop - begin).alias("n")).distinct()
+    p = p.join(chunks(spark, d).select(F.col("chunk_id").alias("id"), "text"), "id").withColumn("quote", F.substring("text", F.col("start") + 1, F.col("n")))
+    once = p.filter((disjoint_count(F.col("quote"), F.col("a")) == 1) & (disjoint_count(F.col("quote"), F.col("b")) == 1))
+    m = once.groupBy("id", "a", "b").agg(F.min(F.struct("n", "start")).alias("m"))
+    return m.select(F.col("id").alias("chunk_id"), "a", "b", F.col("m.n").alias("n"), F.col("m.start").alias("start"))
+
+
 def gld03_types(spark: SparkSession, d: str) -> DataFrame:
     """Type of each node name by agreement, else by a list of priorities, with how it was decided."""
     order = ["Disease", "IndicatorState", "LabIndicator", "LabPanel", "ClinicalContext"]
@@ -226,6 +250,8 @@ select document_id, case when b then 'semantic' when h then 'structural' else 'e
     "join21_nearest_before": f"""with {_SP} select * from (select chunk_id, word, start, lag(word) over (partition by chunk_id order by start, "end", word) "before" from sp) where "before" is not null""",
     "join18_line_pairs": f"""with {_SP}, l as (select sp.*, length(substr(text, 1, start)) - length(replace(substr(text, 1, start), chr(10), '')) line from sp join ch using (chunk_id)),
 n as (select word, lead(word) over (partition by chunk_id, line order by start, "end", word) nx from l) select least(word, nx) a, greatest(word, nx) b, count(*) n from n where nx is not null and nx <> word group by 1, 2""",
+    "join18_all_pairs": f"""with {_SP}, l as (select distinct chunk_id, word, length(substr(text, 1, start)) - length(replace(substr(text, 1, start), chr(10), '')) line from sp join ch using (chunk_id))
+select x.word a, y.word b, count(*) n from l x join l y on x.chunk_id = y.chunk_id and x.line = y.line and x.word < y.word group by 1, 2""",
     "join12_chains": f"""with {_E}, v as (select * from ed where subject_id is not null and object_id is not null) select b.object_id as "end", count(*) n_chains from v a join v b on a.object_id = b.subject_id where a.predicate = 'SUGGESTS' and b.predicate = 'PART_OF' group by 1""",
     "grf24_completeness": f"""with {ND}, {_E}, a as (select subject_id k, count(*) o, bool_or(evidence_json <> '[]') ev from ed group by 1), b as (select object_id k, count(*) i from ed group by 1)
 select case when o is null and i is null then 'isolated' when o is null then 'no_output' when i is null then 'no_input' when not ev then 'no_evidence' else 'complete' end state, count(*) n_nodes from nd left join a on a.k = node_id left join b on b.k = node_id group by 1""",
@@ -247,6 +273,9 @@ f as (select report_id, code, min(struct_pack(o := obs_id, i := i)) o from x gro
     "val20_duplicates": "select obs_id, count(*) - 1 n_repeats from (select * exclude (received_at) from observation) group by all having count(*) > 1",
     "val33_minimal_quote": f"""with {_SP}, g as (select chunk_id, start, lead("end") over (partition by chunk_id order by start, "end") - start n from sp where word in ('clot', 'heparin level'))
 select chunk_id, m.n n, m.s as start from (select chunk_id, min(struct_pack(n := n, s := start)) m from g where n is not null group by 1)""",
+    "val33_all_pairs": f"""with {_SP}, p as (select x.chunk_id, x.word a, y.word b, least(x.start, y.start) s, greatest(x."end", y."end") - least(x.start, y.start) n from sp x join sp y on x.chunk_id = y.chunk_id and x.word < y.word),
+q as (select p.*, substr(text, p.s + 1, n) t from p join ch using (chunk_id)), o as (select * from q where len(string_split(t, a)) = 2 and len(string_split(t, b)) = 2)
+select chunk_id, a, b, m.n n, m.s as start from (select chunk_id, a, b, min(struct_pack(n := n, s := s)) m from o group by 1, 2, 3)""",
     "gld03_types": f"""with {ND}, g as (select name, list(distinct node_type) t from nd group by 1) select name, coalesce({", ".join(f"case when list_contains(t, '{x}') then '{x}' end" for x in ("Disease", "IndicatorState", "LabIndicator", "LabPanel", "ClinicalContext"))}, list_min(t)) node_type,
 case when len(t) = 1 then 'unanimous' else 'priority' end decided from g""",
     "gld05_bases": f"""with {ND}, s as (select distinct name, regexp_extract(name, '^(.+) (raised|lowered|critical|unchanged|high|low|[a-z]+)$', 1) base from nd where node_type = 'IndicatorState') select name, base, base in (select standard_name from lab_term) known from s where base <> ''""",
@@ -260,6 +289,6 @@ select s as site_code, count(*) n, round(count(h) / count(*)::double, 6) coverag
     "match03_representatives": f"with {_CF} select standard_name, site_code, min(obs_id) first_obs, count(*) n from cf where fp = 1 group by 1, 2",
 }
 QUERIES = {f.__name__: f for f in (
-    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_line_pairs, join12_chains, grf24_completeness, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn25_all_numbers, fn22_endpoint_keys,
-    rul08_conditions, rul13_gaps, val10_occurrences, val20_duplicates, val33_minimal_quote, gld03_types, gld05_bases, gld17_supplement, exp01_replacement, exp03_groups, exp04_coverage, exp18_complete, match03_representatives,
+    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_line_pairs, join18_all_pairs, join12_chains, grf24_completeness, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn25_all_numbers, fn22_endpoint_keys,
+    rul08_conditions, rul13_gaps, val10_occurrences, val20_duplicates, val33_minimal_quote, val33_all_pairs, gld03_types, gld05_bases, gld17_supplement, exp01_replacement, exp03_groups, exp04_coverage, exp18_complete, match03_representatives,
 )}

@@ -65,3 +65,17 @@ def test_matching_takes_whole_names(spark, tmp_path):
     write(spark, tmp_path, "observation", [("r", 1, "HEMOGLOBIN A1c"), ("r", 2, "Hemoglobin"), ("r", 3, "Hgb"), ("r", 4, "Hemopexin"), ("r", 5, None)], "report_id string, obs_id int, raw_name string")
     write(spark, tmp_path, "lab_term", [("t1", "Hemoglobin", "Hb", ["Hgb"]), ("t2", "Hemoglobin A1c", None, None), ("t3", "Hemofuscin", "", [])], "term_id string, standard_name string, abbreviation string, aliases array<string>")
     assert {(r.p, r.g) for r in match01_matching(spark, str(tmp_path)).collect()} == {("1", "t2"), ("2", "t1")}
+
+
+def test_all_pairs_of_a_line(spark, tmp_path):
+    from quillon.plans.contracts import join18_all_pairs
+
+    write_chunks(spark, tmp_path, ["PT, quality and clot, PT\nAPTT", "clot PT"])
+    assert {tuple(r) for r in join18_all_pairs(spark, str(tmp_path)).collect()} == {("PT", "clot", 2), ("PT", "quality", 1), ("clot", "quality", 1)}
+
+
+def test_minimal_quotes_of_all_pairs(spark, tmp_path):
+    from quillon.plans.contracts import val33_all_pairs
+
+    write_chunks(spark, tmp_path, ["clot x clot yy quality\nz PT quality", "clot clot", "APTT PT", "fibrin clot"])
+    assert {tuple(r) for r in val33_all_pairs(spark, str(tmp_path)).collect()} == {("c0", "clot", "quality", 15, 7), ("c0", "PT", "clot", 20, 7), ("c0", "PT", "quality", 10, 25), ("c3", "clot", "fibrin clot", 11, 0)}
