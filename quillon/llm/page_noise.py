@@ -13,6 +13,9 @@ The pages become a table of lines (:func:`page_lines`); everything else are join
 Semantics: a page that is delivered again counts once (by ``page_id``); null and empty texts have no lines; line numbers
 count from 1 over the lines between LF; a page without neighbours or numbers simply yields fewer findings; empty tables
 give empty results. No window reaches beyond one page, so no group is larger than a page.
+
+Plans: texts are taken apart with ``explode_outer`` and nulls left out afterwards, as the optimizer puts a filter with two
+more copies of the expression before every ``explode``.
 """
 
 from __future__ import annotations
@@ -43,15 +46,15 @@ CONTEXT_RATIO = 3
 #: Bounds on what is sent to every task: all pieces to look at, or else the most frequent ones to pass over.
 MOST_SENT, STOP_FORMS = 200_000, 2_000
 MARKS = "\\-‐­¬"
-#: One mark for each stroke or shape class.
-_ONE = ("il1|ítfrvjecéœo0óòáas5gq9z2", "iiiiiiiiiicccCooooaassgggzz")
+#: One mark for each stroke or shape class; capitals stand for glyphs of several strokes.
+_ONE = ("il1|ítfrvjecéœo0óòáas5gq9z2nuhb68w", "iiiiiiiiiicccCooooaassgggzzNNNNNNN")
 
 
 def skeleton(text: Column) -> Column:
     """The shape of a word: glyphs that scanners confuse become the same strokes."""
     s = F.translate(F.lower(text), *_ONE)
-    for glyphs, strokes in (("nuhb68w", "ii"), ("m", "iii"), ("d", "ci"), ("C", "cc")):
-        s = F.regexp_replace(s, f"[{glyphs}]", strokes)
+    for glyph, strokes in (("N", "ii"), ("m", "iii"), ("d", "ci"), ("C", "cc")):
+        s = F.replace(s, F.lit(glyph), F.lit(strokes))
     return s
 
 
@@ -114,19 +117,28 @@ def _notations(n: Column) -> dict[str, Column]:
     return {"arabic": own.cast("string"), "roman": F.when(n >= 1, _roman_shape(n)), "hanzi": _hanzi_of(own), "ciphers": F.translate(own.cast("string"), "0123456789", _CIPHERS)}
 
 
+#: What a page tells about its place in the book.
+PLACE = ("document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number")
+
+
+def _bounded(piece: Column, start: int) -> Column:
+    """A piece between blanks. Words stay whole; ideographic text knows no blanks, of it 48 characters are enough."""
+    return F.when((F.length(piece) > 48) & piece.rlike("[㐀-鿿]"), F.substring(piece, start, 48)).otherwise(piece)
+
+
 def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     """One row per line of each distinct page: its kind (the fences before a line tell whether it lies in a block), its place among the lines with text from the top and from the
-    bottom (4 for all beyond the third), the last word of the line before and the first word of the line after (of
-    words longer than 48 characters only that much). ``every_line=False`` leaves out what the search for noise never
-    looks at: blank lines, and lines off the edges that are no running text."""
-    kept = pages.select("page_id", "raw_text").filter("raw_text is not null and page_id is not null")
+    bottom (4 for all beyond the third), the last word of the line before and the first word of the line after. Lines at
+    the edges (top or bottom up to 3) also have the place of their page in the book. ``every_line=False`` leaves out what
+    the search for noise never looks at: blank lines, and lines off the edges that are no running text."""
+    kept = pages.select("page_id", "raw_text", *PLACE).filter("raw_text is not null and page_id is not null")
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
     is_fence = lambda x: F.ltrim(x).startswith("```") | (F.rtrim(x) == "$$")
     full = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.ltrim(F.element_at("lines", i)) != "")
-    once = once.withColumn("full", full).select("page_id", "lines", F.slice("full", 1, 3).alias("first"), F.slice("full", F.when(F.size("full") > 0, -F.least(F.lit(3), F.size("full"))).otherwise(1), F.lit(3)).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
-    rows = once.select("page_id", "lines", "first", "last", "fences", F.posexplode("lines").alias("pos", "text"))
-    tail = lambda c: F.substring(F.substring_index(F.rtrim(c), " ", -1), -48, 48)
-    head = lambda c: F.substring(F.substring_index(F.ltrim(c), " ", 1), 1, 48)
+    once = once.withColumn("full", full).select("page_id", "lines", *PLACE, F.slice("full", 1, 3).alias("first"), F.slice("full", F.when(F.size("full") > 0, -F.least(F.lit(3), F.size("full"))).otherwise(1), F.lit(3)).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
+    rows = once.select("page_id", "lines", "first", "last", "fences", *PLACE, F.posexplode_outer("lines").alias("pos", "text"))
+    tail = lambda c: _bounded(F.substring_index(F.rtrim(c), " ", -1), -48)
+    head = lambda c: _bounded(F.substring_index(F.ltrim(c), " ", 1), 1)
     place = lambda c: F.nullif(F.array_position(c, (F.col("pos") + 1).cast("int")), F.lit(0))
     rows = rows.withColumns({
         "text": F.rtrim("text"),
@@ -146,14 +158,17 @@ def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     )
     rows = rows.withColumn("kind", kind)
     if not every_line:
+        # a generator between the kind and its filter, else the filter moves down and takes the kind of every line again
+        rows = rows.select("page_id", "lines", "pos", "text", "top", "bottom", *PLACE, F.explode_outer(F.array("kind")).alias("kind"))
         rows = rows.filter("kind <> 'blank' and (kind in ('prose', 'list') or top <= 3 or bottom <= 3)")
     before = tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0))))
-    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind")
+    at_edge = (F.col("top") <= 3) | (F.col("bottom") <= 3)
+    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind", *[F.when(at_edge, F.col(c)).alias(c) for c in PLACE])
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """One row per page with its place in the book and its numbers."""
-    facts = pages.filter("raw_text is not null and page_id is not null").select("page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number")
+    facts = pages.filter("raw_text is not null and page_id is not null").select("page_id", *PLACE)
     return facts.groupBy("page_id").agg(*[F.first(c).alias(c) for c in facts.columns[1:]])
 
 
@@ -173,29 +188,22 @@ _LONG = _NUM.replace("{1,8}", "{9,48}")
 def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     """``page_id, line_no, noise`` for running headers and page numbers, and ``title`` for the title that opens a chapter.
 
-    ``edge_lines`` are the lines of :func:`page_lines` at the edges of the pages.
+    ``edge_lines`` are the lines of :func:`page_lines` at the edges of the pages, with the place of their page.
     """
-    edges = edge_lines.join(facts, "page_id")
     # the number each page must have: printed, else by the offset to the source page that most pages of the book show
-    t = F.trim("text")
-    alone = F.when(F.length(t) <= 24, F.regexp_extract(F.lower(t), "^" + _NUM + "$", 1)).otherwise("")
-    parted = t.contains("  ") | t.contains("\t") | t.contains("|")
-    first = F.when(parted, F.regexp_extract(F.lower(t), r"^" + _NUM + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)).otherwise("")
-    last = F.when(parted, F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _NUM + "$", 1)).otherwise("")
+    t = F.col("text")
+    low = F.lower(t)
     outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
-    long_alone = F.when(F.length(t) <= 64, F.regexp_extract(F.lower(t), "^" + _LONG + "$", 1)).otherwise("")
-    long_first = F.when(parted, F.regexp_extract(F.lower(t), "^" + _LONG + r"(?:\s{2,}|\t|\s*\|\s*)\S", 1)).otherwise("")
-    long_last = F.when(parted, F.regexp_extract(F.lower(t), r"\S(?:\s{2,}|\t|\s*\|\s*)" + _LONG + "$", 1)).otherwise("")
-    edges = edges.select(
-        "page_id", "document_id", "chapter_id", "chapter_page_index", "printed_page_number", "source_pdf_page_number", "line_no", "top", "bottom", "kind", t.alias("text"),
-        F.when(outer, alone).alias("alone"), F.when(outer & (alone == ""), first).alias("first"), F.when(outer & (alone == ""), last).alias("last"),
-        F.when(outer, long_alone).alias("long_alone"), F.when(outer & (alone == ""), long_first).alias("long_first"), F.when(outer & (alone == ""), long_last).alias("long_last"),
-    )
-    edges = stored(edges, "edges")
+    edges = edge_lines.withColumn("text", F.trim("text")).withColumn("parted", outer & (t.contains("  ") | t.contains("\t") | t.contains("|")))
+    edges = edges.withColumn("alone", F.when(outer & (F.length(t) <= 24), F.regexp_extract(low, "^" + _NUM + "$", 1)).otherwise(""))
+    edges = edges.withColumn("long_alone", F.when(outer & (F.col("alone") == "") & (F.length(t) <= 64), F.regexp_extract(low, "^" + _LONG + "$", 1)).otherwise(""))
+    parted = F.col("parted") & (F.col("alone") == "")
+    ends = {f"{k}{side}": F.when(parted, F.regexp_extract(low, pattern, 1)).otherwise("") for k, num in (("", _NUM), ("long_", _LONG)) for side, pattern in (("first", "^" + num + r"(?:\s{2,}|\t|\s*\|\s*)\S"), ("last", r"\S(?:\s{2,}|\t|\s*\|\s*)" + num + "$"))}
+    edges = stored(edges.withColumns(ends).drop("parted"), "edges")
     number = F.coalesce(*[F.when(F.col(c).rlike("^[0-9]+$"), F.col(c).try_cast("int")) for c in ("alone", "first", "last")])
     shown = F.explode(F.array(F.col("source_pdf_page_number") - F.col("printed_page_number"), F.col("source_pdf_page_number") - number)).alias("offset")
     offsets = edges.select("document_id", shown).filter("offset is not null").groupBy("document_id", "offset").count()
-    offsets = offsets.groupBy("document_id").agg(F.max(F.struct("count", -F.col("offset"), "offset")).alias("o")).select(F.col("document_id").alias("_d"), F.col("o.offset").alias("offset"))
+    offsets = stored(offsets.groupBy("document_id").agg(F.max(F.struct("count", -F.col("offset"), "offset")).alias("o")).select(F.col("document_id").alias("_d"), F.col("o.offset").alias("offset")), "offsets")
     edges = _place(edges, offsets, ["document_id"], ["_d"]).drop("_d")
     edges = edges.withColumn("n", F.coalesce(F.col("printed_page_number"), F.col("source_pdf_page_number") - F.col("offset")))
     found = F.concat_ws(" ", "alone", "first", "last", "long_alone", "long_first", "long_last")
@@ -272,7 +280,7 @@ def raw_counts(lines: DataFrame) -> DataFrame:
     """``raw, n``: the pieces between blanks in running text, in lower case; what follows a broken word is marked."""
     cut = F.coalesce(_hyphen_end(F.col("before")), F.lit(False))
     text = F.when(cut, F.concat(F.lit(_CUT), F.ltrim("text"))).otherwise(F.col("text"))
-    return _latin(lines, ["prose", "list"]).select(F.explode(F.split(F.lower(text), " ")).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    return _latin(lines, ["prose", "list"]).select(F.explode_outer(F.split(F.lower(text), " ")).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
 
 
 def raw_forms(raw: DataFrame) -> DataFrame:
@@ -280,9 +288,9 @@ def raw_forms(raw: DataFrame) -> DataFrame:
 
     Hyphenated compounds stand as such and by their parts.
     """
-    forms = raw.filter(F.length("raw") <= 200).select("raw", F.explode(F.split("raw", _SPLIT)).alias("form"), "n")
+    forms = raw.select("raw", F.explode_outer(F.split("raw", _SPLIT)).alias("form"), "n")
     forms = forms.filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|{_CUT}"))
-    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select("raw", F.explode(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
+    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select("raw", F.explode_outer(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
     return forms.unionAll(parts)
 
 
@@ -311,7 +319,7 @@ def _explains(read: str, true: str, most: int = 3) -> bool:
 
 def suspects(counts: DataFrame) -> DataFrame:
     """``form, other, n, n_other``: forms with the better or rival forms that explain them by confusions."""
-    words = counts.filter("not form like '%-%' and length(form) <= 40").withColumn("skeleton", skeleton(F.col("form")))
+    words = counts.filter("not form like '%-%'").withColumn("skeleton", skeleton(F.col("form")))
     words = words.filter(F.col("form").rlike(r"\p{L}|\|"))
     better = counts.filter("n >= 2 and not form like '%-%'").withColumn("skeleton", skeleton(F.col("form"))).select("skeleton", F.col("form").alias("other"), F.col("n").alias("n_other"))
     # a number has no fixed vocabulary: its digits are the form that explains it
@@ -347,7 +355,7 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     before, after, text = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.lower("text")
     prose = _latin(lines, ["prose"])
     pieces = prose.select("page_id", "line_no", "before", "after", F.split(text, " ").alias("w")).withColumn("n_w", F.size("w"))
-    pieces = pieces.select("page_id", "line_no", "before", "after", "w", "n_w", F.posexplode("w").alias("i", "raw"))
+    pieces = pieces.select("page_id", "line_no", "before", "after", "w", "n_w", F.posexplode_outer("w").alias("i", "raw"))
     small = broadcast_if_small(odd_raw, MOST_SENT)
     if small is odd_raw:
         # too many to send: first drop the most frequent pieces that are surely right, of which a bounded number is sent
@@ -355,7 +363,8 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
         pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")
     pieces = pieces.join(small, F.col("raw") == F.col("_raw"))
     here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_hyphen_end(F.col("before")) & _ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.col("n_w") - 1) & _hyphen_end(F.col("raw")) & _ends_cut(F.col("raw"))))
-    word = lambda c, n: F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^"))
+    # most neighbours are plain words, which need no splitting
+    word = lambda c, n: F.when(c.rlike("^[a-z]+$"), c).otherwise(F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^")))
     near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))
     here = here.select("page_id", "line_no", "form", "judged", "meant", near(F.col("i"), before, -1).alias("p"), near(F.col("i") + 2, after, 1).alias("q"), F.lit(None).cast("int").alias("least"), F.lit(None).cast("int").alias("below"))
     # a broken word is judged whole, at both of its lines; only the half with the wrong character counts
@@ -363,7 +372,7 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     ends = F.when(_hyphen_end(F.col("text")) & _ends_cut(F.col("text")), F.struct(last_word(F.substring_index("text", " ", -1)).alias("a"), first_word(after).alias("b"), F.lit(True).alias("first")))
     cuts = F.when(_hyphen_end(before) & _ends_cut(F.col("before")), F.struct(last_word(before).alias("a"), first_word(F.substring_index(F.ltrim("text"), " ", 1)).alias("b"), F.lit(False).alias("first")))
     halves = lines.filter("kind = 'prose'").filter(_hyphen_end(F.col("text")) | _hyphen_end(before))
-    whole = halves.select("page_id", "line_no", F.explode(F.array_compact(F.array(ends, cuts))).alias("h")).select("page_id", "line_no", "h.*")
+    whole = halves.select("page_id", "line_no", F.explode_outer(F.array_compact(F.array(ends, cuts))).alias("h")).filter("h is not null").select("page_id", "line_no", "h.*")
     whole = whole.withColumn("form", F.concat("a", "b")).join(odd.filter("not judged"), F.col("form") == F.col("_o"))
     n_a = F.length("a")
     whole = whole.select("page_id", "line_no", "form", "judged", "meant", F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("q"), F.when(~F.col("first"), n_a).alias("least"), F.when(F.col("first"), n_a).alias("below"))
@@ -394,6 +403,7 @@ def in_context(occurrences: DataFrame, rivals: DataFrame) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     wins = F.when(z("o3") > 0, z("o3") >= CONTEXT_RATIO * F.col("n3")).otherwise((F.least(z("ol"), z("orr")) > 0) & (z("ol") + z("orr") >= CONTEXT_RATIO * (F.col("nl") + F.col("nr") - 2 * F.col("n3") + 1)))
     bad = cand.filter(wins).groupBy("p", "form", "q").agg(F.max_by("other", F.struct(z("o3"), z("ol") + z("orr"), F.col("other"))).alias("meant"))
+    bad = broadcast_if_small(stored(bad, "bad"), MOST_SENT)
     return occurrences.join(bad, ["p", "form", "q"]).select("page_id", "line_no", "form", "p", "q", "meant")
 
 
@@ -410,17 +420,17 @@ def ideographs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = lines.filter("kind = 'prose'").filter(F.col("text").rlike("[㐀-鿿]"))
     near = lambda c, n: F.coalesce(F.when(F.length(F.trim(c)) > 0, F.substring(F.trim(c), n, 1)), F.lit("^"))
     ctx = F.translate(F.concat(near("before", -1), F.trim("text"), near("after", 1)), chars + "123456789", codes + "0" * 9)
-    found = own.select("page_id", "line_no", F.explode(F.regexp_extract_all(ctx, F.lit(f"(?=(.[{chr(0xE000)}-{chr(0xE000 + len(chars))}].))"), F.lit(1))).alias("c"))
+    found = own.select("page_id", "line_no", F.explode_outer(F.regexp_extract_all(ctx, F.lit(f"(?=(.[{chr(0xE000)}-{chr(0xE000 + len(chars))}].))"), F.lit(1))).alias("c")).filter("c is not null")
     occ = found.select("page_id", "line_no", F.substring("c", 2, 1).alias("form"), F.substring("c", 1, 1).alias("p"), F.substring("c", 3, 1).alias("q"))
     return occ, lines.sparkSession.createDataFrame([(code[a], code[b]) for a, b in IDEOGRAPHS], "form string, other string")
 
 
-def broken_words(lines: DataFrame, edge_lines: DataFrame, facts: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
+def broken_words(lines: DataFrame, edge_lines: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
     """``page_id, line_no, one`` of lines that end inside a word, with the whole word."""
     ends = lines.filter("kind in ('prose', 'list')").filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.substring_index("text", " ", -1).alias("text"), "after")
     # first and last line of running text of each page, past headers and numbers
-    edges = edge_lines.select("page_id", "line_no", F.substring(F.substring_index(F.ltrim("text"), " ", 1), 1, 48).alias("text")).join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
-    body = stored(edges.groupBy("page_id").agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")).join(facts.select("page_id", "document_id", "chapter_id", "chapter_page_index"), "page_id"), "body")
+    edges = edge_lines.select("page_id", "line_no", _bounded(F.substring_index(F.ltrim("text"), " ", 1), 1).alias("text"), *PLACE[:3]).join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
+    body = stored(edges.groupBy("page_id", *PLACE[:3]).agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")), "body")
     following = body.select(F.col("document_id").alias("_d"), F.col("chapter_id").alias("_c"), (F.col("chapter_page_index") - 1).alias("_i"), F.col("f.text").alias("next_text"))
     tail = body.select(F.col("page_id").alias("_p"), "last_line", "document_id", "chapter_id", "chapter_page_index")
     tail = tail.join(following, (F.col("document_id") == F.col("_d")) & (F.col("chapter_id") == F.col("_c")) & (F.col("chapter_page_index") == F.col("_i")), "left").select("_p", "last_line", "next_text")
@@ -447,13 +457,13 @@ def _analysed(pages: DataFrame, every_line: bool) -> tuple[DataFrame, DataFrame,
     """Lines, edge noise, sure misreadings, misreadings by context, broken words - of all pages."""
     lines = stored(page_lines(pages, every_line), "lines")
     facts = stored(page_facts(pages), "facts")
-    edge_lines = stored(lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind"), "edge_lines")
+    edge_lines = lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind", *PLACE)
     edge = stored(edge_noise(edge_lines, facts), "edge")
     raw = stored(raw_forms(raw_counts(lines)), "raw")
     counts = stored(word_counts(raw), "counts")
     hit, words, rivals = misread_words(lines, raw, counts)
     signs, looks = ideographs(lines)
-    return lines, edge, hit, in_context(words.unionAll(signs), rivals.unionAll(looks)), broken_words(lines, edge_lines, facts, edge, counts)
+    return lines, edge, hit, in_context(words.unionAll(signs), rivals.unionAll(looks)), broken_words(lines, edge_lines, edge, counts)
 
 
 def page_noise(pages: DataFrame) -> DataFrame:

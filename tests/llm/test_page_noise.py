@@ -86,3 +86,17 @@ def test_pages_beyond_999(spark):
     out = {(int(r.page_id[-4:]), r.noise) for r in page_noise(spark.createDataFrame(rows, SCHEMA)).collect() if r.noise in ("page_number", "running_header")}
     assert {i for i, x in out if x == "page_number"} == set(range(2, 12))
     assert (10, "running_header") in out
+
+
+def test_long_words_and_pieces_are_judged(spark):
+    long = "un" + "characteristic" * 4 + "morning"  # over 60 letters
+    rows = [page(i, f"Notes from the Bench\n\nIt was begun by {'abcdefghijkl'[i - 2]}.\nThe {long.replace('morning', 'rnorning') if i == 3 else long} was kept.\n{'；'.join(['morning'] * 40)} {'a/' * 150}rnorning\n\n{10 + i}", 10 + i) for i in range(2, 60) if i < 14]
+    rows = [(*r[:6], r[6].replace("a/" * 150 + "rnorning", ("a/" * 150 + "rnorning") if r[3] == 4 else "x"), r[7]) for r in rows]
+    out = {(int(r.page_id[-4:]), r.line_no) for r in page_noise(spark.createDataFrame(rows, SCHEMA)).collect() if r.noise == "misread"}
+    assert out == {(3, 4), (4, 5)}
+
+
+def test_a_long_word_broken_at_the_end_of_a_line(spark):
+    half = "deoxy" * 12
+    rows = [page(i, f"It was begun by {'abcdefghijkl'[i - 2]}.\nThe {half}ribose was read.\n" + (f"It was the {half}-\nribose that counted.\n" if i == 5 else "") + str(10 + i), 10 + i) for i in range(2, 12)]
+    assert [(r.page_id[-4:], r.line_no) for r in page_noise(spark.createDataFrame(rows, SCHEMA)).collect() if r.noise == "broken_word"] == [("0005", 3)]
