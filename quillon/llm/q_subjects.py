@@ -15,15 +15,15 @@ def shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    """Each subject that at least a fifth of a document deals with."""
-    return shares(spark, d).filter(F.col("share") >= SHARE).select("doc_id", "subject_code")
+    """Each subject that at least a fifth of a document deals with, by its passages or a trusted label."""
+    return shares(spark, d).filter((F.col("share") >= SHARE) | F.col("labelled")).select("doc_id", "subject_code")
 
 
 def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     """The corpus by subject: documents that deal with it and their characters in its passages."""
     sizes = table(spark, d, "documents").select("doc_id", F.length("text").alias("n"))
     found = shares(spark, d).join(sizes, "doc_id")
-    return found.groupBy("subject_code").agg(F.count(F.when(F.col("share") >= SHARE, 1)).alias("n_documents"), F.round(F.sum(F.col("share") * F.col("n"))).cast("bigint").alias("n_characters"))
+    return found.groupBy("subject_code").agg(F.count(F.when((F.col("share") >= SHARE) | F.col("labelled"), 1)).alias("n_documents"), F.round(F.sum(F.col("share") * F.col("n"))).cast("bigint").alias("n_characters"))
 
 
 QUERIES = {f.__name__: f for f in (p9_found, p9_composition)}
