@@ -11,6 +11,9 @@ from quillon.llm.storage import stored
 from quillon.llm.tokens import token_count
 from quillon.sources.tables import table
 
+#: Each capacity is a packing of all documents.
+MAX_CAPACITIES = 100
+
 
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"), "text").filter("text is not null")
@@ -18,14 +21,16 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _contents(spark: SparkSession, d: str) -> DataFrame:
-    capacities = sorted(r.max_size for r in table(spark, d, "size_limit").filter("measure = 'tokens' and item_table = 'documents'").select("max_size").distinct().limit(100).collect())
+    capacities = sorted(r.max_size for r in table(spark, d, "size_limit").filter("measure = 'tokens' and item_table = 'documents'").select("max_size").distinct().limit(MAX_CAPACITIES + 1).collect())
+    if len(capacities) > MAX_CAPACITIES:
+        raise ValueError(f"more than {MAX_CAPACITIES} capacities")
     sizes = _sizes(spark, d)
     return reduce(DataFrame.unionByName, [pack(sizes, c).withColumn("capacity", F.lit(c)) for c in capacities])
 
 
 def p7_contents(spark: SparkSession, d: str) -> DataFrame:
     """What each container holds: documents or parts of documents, with their place in the document in tokens."""
-    return _contents(spark, d).select("capacity", "container_id", "bucket", F.col("key").alias("doc_id"), "part", F.col("start").alias("token_start"), F.col("size").alias("n_tokens"))
+    return _contents(spark, d).select("capacity", "container_id", "bucket", "stage", F.col("key").alias("doc_id"), "part", F.col("start").alias("token_start"), F.col("size").alias("n_tokens"))
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
