@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quillon.functions.units import plain, resolve
 from quillon.session import broadcast_if_small
 
-#: Bound on the dictionary of terms that is sent to every task.
-MAX_TERMS = 20_000
+#: Bound on the dictionary of terms that is sent to every task; the most words that one unit is spelled in.
+MAX_TERMS, UNIT_WORDS = 20_000, 12
 _NUMERIC = re.compile(r"[<>≤≥~]?[-+]?\d[\d.,]*(?:[eE][-+]?\d+)?$")
 _POWER = re.compile(r"10\s*(?:\^|[eE*])\s*[-+]?\d")
 NAME_TAILS = (re.compile(r"[(\[]([^()\[\]]*)[)\]]\s*$"), re.compile(r",\s*([^,]+)$"), re.compile(r"\sin\s+(\S.*)$"))
@@ -43,7 +43,10 @@ def fields_of(terms: DataFrame, conversions: DataFrame) -> dict[str, Field]:
     if len(rows) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms: not a dictionary")
     more: dict[str, list] = defaultdict(list)
-    for r in conversions.select("term_id", "source_unit", "factor").dropna().distinct().orderBy("source_unit").limit(50 * MAX_TERMS).collect():
+    factors = conversions.select("term_id", "source_unit", "factor").dropna().distinct().orderBy("source_unit").limit(50 * MAX_TERMS + 1).collect()
+    if len(factors) > 50 * MAX_TERMS:
+        raise ValueError(f"more than {50 * MAX_TERMS} conversions: not a dictionary")
+    for r in factors:
         more[r.term_id].append((r.source_unit, float(r.factor)))
     return {r.standard_name: ((r.default_unit, 1.0), *more[r.term_id]) for r in rows}
 
@@ -53,7 +56,7 @@ def unit_in_words(text: str | None, field: Field) -> tuple[str, float] | None:
     if not text:
         return None
     words = [w for w in (x.strip("()[]{},;:。，；：") for x in plain(text).split(" ")) if w]
-    for n in range(min(4, len(words)), 0, -1):
+    for n in range(min(UNIT_WORDS, len(words)), 0, -1):
         for i in range(len(words) - n + 1):
             run = " ".join(words[i : i + n])
             if i and _NUMERIC.match(words[i - 1]) or run[0].isdigit() and not _POWER.match(run):

@@ -8,7 +8,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-_PROTECTED = re.compile(r"^\$\$.*?(?:^\$\$|\Z)|(?:^[ \t]*\|[^\n]*(?:\n|\Z))+|^```.*\Z", re.M | re.S)
+# What must not be cut. Tables in tags run to the end of the text where they are not closed.
+_BLOCKS = (re.compile(r"<table\b[^>]*>(?:.*?</table\s*>|.*\Z)", re.I | re.S), re.compile(r"\\\\\[.*?\\\\\]", re.S), re.compile(r"\$\$.*?\$\$", re.S))
+_FENCE = re.compile(r"^\s*(`{3,}|~{3,})[^\n]*(?:\n|$)", re.M)
 
 
 def lines_with_offsets(pages: DataFrame, key: str, text: str) -> DataFrame:
@@ -58,32 +60,55 @@ def section_paths(lines: DataFrame, book: str, order: list[str]) -> DataFrame:
     return rows.withColumns({"h1": F.col("_h1.t"), "h2": h2, "h3": h3}).drop("_lv", "_pos", "_h1", "_h2", "_h3")
 
 
+def protected_spans(text: str) -> list[tuple[int, int]]:
+    """Tables, formulas and fences, merged where they touch.
+
+    A fence ends at a mark of its kind and length or at the end of the text; the closing mark opens another fence, as it
+    does in the package format, so that in effect the rest of the page stays with it.
+    """
+    found = [m.span() for rx in _BLOCKS for m in rx.finditer(text)]
+    for m in _FENCE.finditer(text):
+        close = re.compile(rf"^\s*{m[1][0]}{{{len(m[1])},}}\s*(?:\n|$)", re.M).search(text, m.end())
+        found.append((m.start(), close.end() if close else len(text)))
+    spans: list[list[int]] = []
+    for a, b in sorted(found):
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
+        else:
+            spans.append([a, b])
+    return [(a, b) for a, b in spans]
+
+
+def preferred_cut(text: str, start: int, limit: int, spans: list[tuple[int, int]]) -> int | None:
+    """The last place behind a blank line in ``text[start:limit]``, else behind a line end, never inside a span."""
+    for mark in ("\n\n", "\n"):
+        at = text.rfind(mark, start, limit)
+        while at >= 0:
+            cut = at + len(mark)
+            if not any(a < cut < b for a, b in spans):
+                return cut
+            at = text.rfind(mark, start, cut - 1)
+    return None
+
+
 def slice_page(text: str, most: int) -> list[tuple[int, int, bool]]:
-    """Chunks ``(start, end, oversize)`` of a page: at the last blank line within ``most``, else the last line end, never
-    inside a table, formula or fence; what cannot be cut stays whole. Everything from the first fence on is one block."""
-    zones = [m.span() for m in _PROTECTED.finditer(text)]
-    out, at = [], 0
+    """Chunks ``(start, end, oversize)`` of a page, cut at the preferred place within ``most`` or, where there is none, at ``most``.
+
+    A block that crosses the limit moves to the next chunk, and one that begins a chunk stays whole; ``oversize`` marks
+    chunks that hold a block longer than ``most``.
+    """
+    spans, out, at = protected_spans(text), [], 0
     while at < len(text):
         limit = min(len(text), at + most)
-        if limit == len(text):
-            out.append((at, limit, False))
-            break
-        free = lambda p: not any(a < p < b for a, b in zones)
-        blank = [m.end() for m in re.finditer(r"\n\n+", text[at:limit]) if free(at + m.end())]
-        line = [m.end() for m in re.finditer(r"\n", text[at:limit]) if free(at + m.end())]
-        cut = at + (blank or line or [0])[-1]
-        over = False
-        if cut == at:
-            zone = next(((a, b) for a, b in zones if a <= at < b), None) or next(((a, b) for a, b in zones if at < a < limit), None)
-            if zone and zone[0] > at:
-                cut = zone[0]
-            elif zone:
-                cut, over = zone[1], zone[1] - at > most
-            else:
-                end = text.find("\n", limit)
-                cut, over = (len(text) if end < 0 else end + 1), True
-        out.append((at, cut, over))
-        at = cut
+        across = next(((a, b) for a, b in spans if a < limit < b), None)
+        if across is None:
+            end = preferred_cut(text, at, limit, spans) or limit
+        elif across[0] <= at:
+            end = across[1]
+        else:
+            end = preferred_cut(text, at, across[0], spans) or across[0]
+        out.append((at, end, any(at <= a and b <= end and b - a > most for a, b in spans)))
+        at = end
     return out
 
 

@@ -1,11 +1,12 @@
 """Incremental runs: units are done once per content and configuration.
 
-The reference semantics are batch with a progress table; :func:`pending` is the batch form, :func:`run_stream` the
-Structured Streaming form, in which each micro-batch appends its results and the units' identities together.
+:func:`pending` is the batch form over a progress table, :func:`run_stream` the Structured Streaming form. There each
+micro-batch has a folder of its own for its results and its identities, which a repeated batch overwrites.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,18 +25,21 @@ def pending(units: DataFrame, done: DataFrame, config: str) -> DataFrame:
 def run_stream(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, progress: str, checkpoint: str, config: str):
     """Process a stream of units once each; returns the started query.
 
-    ``progress`` is the parquet table of identities; a batch that is tried again skips the units already recorded.
+    ``out`` and ``progress`` (the identities) are parquet tables partitioned by ``run`` (of a checkpoint) and ``batch``. A batch that ended between its
+    two writes, or is tried again for another reason, looks at the progress of other batches only, so it does the same
+    units and replaces what it wrote: every unit has its results once.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def batch(df: DataFrame, number: int) -> None:
         spark: SparkSession = df.sparkSession
-        try:
-            done = spark.read.parquet(progress)
-        except Exception:  # the first batch: no table yet
-            done = spark.createDataFrame([], "identity string")
-        todo = pending(df, done, config).persist()
-        work(todo).write.mode("append").parquet(out)
-        todo.select("identity", F.lit(number).alias("batch")).write.mode("append").parquet(progress)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(progress)
+        there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+        schema = "identity string, run string, batch long"
+        done = spark.read.schema(schema).parquet(progress) if there else spark.createDataFrame([], schema)
+        todo = pending(df, done.filter((F.col("run") != run) | (F.col("batch") != number)), config).persist()
+        work(todo).write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
+        todo.select("identity").write.mode("overwrite").parquet(f"{progress}/run={run}/batch={number}")
         todo.unpersist()
 
     return source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

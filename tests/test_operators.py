@@ -112,9 +112,12 @@ def test_case_selection(spark):
 
 def test_segments(spark):
     assert [(a, b) for a, b, _ in slice_page("one\ntwo\n\nthree\nfour\n", 10)] == [(0, 9), (9, 15), (15, 20)]
-    table = "| a |\n" * 5
-    assert slice_page("x\n" + table + "y\n", 10) == [(0, 2, False), (2, 32, True), (32, 34, False)]
-    for text in ("", "a", "a\n" * 50, "```\n" + "z\n" * 30, "long line " * 30, "\n\n\n"):
+    table = "<table>\ncell contents\n</table>\n"
+    assert slice_page("x\n" + table + "y\n", 10) == [(0, 2, False), (2, 32, True), (32, 35, False)]
+    # without a break the cut is hard; the mark that closes a fence opens another one, so a fence holds the rest of its page
+    assert slice_page("a" * 30, 10) == [(0, 10, False), (10, 20, False), (20, 30, False)]
+    assert slice_page("x\n```\ncode\n```\nrest of it\nmore\n", 8) == [(0, 2, False), (2, 31, True)]
+    for text in ("", "a", "a\n" * 50, "```\n" + "z\n" * 30, "long line " * 30, "\n\n\n", "| a |\n$$\nx\n$$\n" * 20, "<table> never closed " * 9):
         assert "".join(text[a:b] for a, b, _ in slice_page(text, 12)) == text
     p = spark.createDataFrame([("p", "ab\n\ncd"), ("q", None), ("r", "")], "id string, t string")
     assert [(r.id, r.line_no, r.line, r.line_start, r.line_end) for r in lines_with_offsets(p, "id", "t").orderBy("id", "line_no").collect()] == [("p", 1, "ab", 0, 2), ("p", 2, "", 3, 3), ("p", 3, "cd", 4, 6), ("r", 1, "", 0, 0)]
@@ -127,6 +130,28 @@ def test_segments(spark):
     assert got[5] == ("A", "一、B", "（一）C") and got[7] == ("D", None, None)
 
 
+def test_a_repeated_batch_replaces_what_it_wrote(spark, tmp_path):
+    from quillon.streaming.incremental import run_stream
+
+    src, out, progress = (str(tmp_path / x) for x in ("src", "out", "progress"))
+    units = [(f"u{i}", f"h{i}") for i in range(6)]
+    spark.createDataFrame(units[:4], "unit_id string, content_sha256 string").coalesce(1).write.parquet(src)
+    read = lambda: spark.readStream.schema("unit_id string, content_sha256 string").parquet(src)
+    work = lambda df: df.select("unit_id", F.length("content_sha256").alias("n"))
+    run_stream(read(), work, out, progress, str(tmp_path / "c1"), "v1").awaitTermination()
+    # a crash between the two writes: the results are there, the progress and the commit of the batch are not
+    import shutil
+
+    shutil.rmtree(next((tmp_path / "progress").glob("run=*")) / "batch=0")
+    shutil.rmtree(tmp_path / "c1" / "commits")
+    spark.createDataFrame(units[2:], "unit_id string, content_sha256 string").coalesce(1).write.mode("append").parquet(src)
+    for _ in range(2):
+        run_stream(read(), work, out, progress, str(tmp_path / "c1"), "v1").awaitTermination()
+    assert sorted(r.unit_id for r in spark.read.parquet(out).collect()) == [u for u, _ in units]
+    run_stream(read(), work, out, progress, str(tmp_path / "c2"), "v2").awaitTermination()
+    assert spark.read.parquet(progress).select("identity").distinct().count() == 12
+
+
 def test_overlap_join_against_brute_force(spark):
     rnd = random.Random(5)
     mk = lambda n: [("k", i, s, s + rnd.randint(1, 2000)) for i, s in enumerate(rnd.randint(0, 5000) for _ in range(n))]
