@@ -10,7 +10,7 @@
 Semantics: sources are compared in lower case with ``-`` and blanks as ``_``, languages by their first part; documents of
 sources without a target get no use. Null or empty texts have no tokens and no use. A source whose tokens, repeated as
 often as allowed, do not reach its share of ``total`` falls short and is used to its limit. Sampling is by hash, so the
-same input gives the same uses.
+same input gives the same uses. Repeated target rows count once; a source with two different targets is refused.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: Bound on the cells that go to the driver; rounds of fitting; resolution of the sampling order.
+#: Bound on the cells that go to the driver; rounds of fitting; resolution of the sampling order, and of its last slot.
 MAX_CELLS, ROUNDS, SLOTS = 200_000, 200, 4_096
 
 
@@ -93,7 +93,12 @@ def mix(documents: DataFrame, targets: DataFrame, total: int | None = None, seed
     ``total`` is the wanted size in tokens, by default that of all documents of the target sources.
     """
     spark = documents.sparkSession
-    aim = {r.source: r for r in targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").dropna().distinct().limit(MAX_CELLS).collect()}
+    wanted = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").dropna().distinct().limit(MAX_CELLS + 1).collect()
+    if len(wanted) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} targets")
+    aim = {r.source: r for r in wanted}
+    if len(aim) < len(wanted):
+        raise ValueError("a source has two targets")
     docs = documents.select("doc_id", source_name(F.col("source")).alias("source"), language(F.col("lang")).alias("lang"), F.coalesce("topic", F.lit("none")).alias("topic"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
     names = spark.createDataFrame([(s,) for s in aim], "source string")
     docs = docs.join(F.broadcast(names), "source")  # the target list, read above with its bound

@@ -13,7 +13,9 @@ _ITEMS = {"page_text": "page_id", "evidence_chunk": "chunk_id"}
 
 
 def _pieces(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
-    limits = table(spark, d, "size_limit").filter("measure = 'code_points'").orderBy("item_table").limit(len(_ITEMS)).collect()
+    limits = table(spark, d, "size_limit").filter("measure = 'code_points'").distinct().orderBy("item_table").limit(len(_ITEMS) + 1).collect()
+    if len({r.item_table for r in limits}) < len(limits) or not {r.item_table for r in limits} <= set(_ITEMS):
+        raise ValueError(f"code_points limits are expected for {sorted(_ITEMS)}, one each")
     parts = []
     for r in limits:
         items = table(spark, d, r.item_table).select(F.col(_ITEMS[r.item_table]).alias("item_id"), F.col(r.item_field).alias("text"))

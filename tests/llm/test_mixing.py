@@ -29,3 +29,11 @@ def test_mix(spark):
 def test_empty(spark):
     targets = spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
     assert mix(spark.createDataFrame([], SCHEMA), targets).count() == 0
+
+
+def test_a_source_with_two_targets_is_refused(spark):
+    import pytest
+
+    targets = spark.createDataFrame([*TARGETS, ("BIG", 0.1, 2)], "source string, target_share double, max_repeats int")
+    with pytest.raises(ValueError, match="two targets"):
+        mix(spark.createDataFrame([], SCHEMA), targets)
