@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.functions.text import let
 
+#: Bound on a dictionary that is sent to every task.
+MAX_WORDS = 200_000
+
 
 def phrases(tokens: Column, most: int) -> Column:
     """All runs of 1 to ``most`` neighbouring tokens, joined by a blank."""
@@ -28,18 +35,36 @@ def candidate_terms(docs: DataFrame, most: int, least_docs: int) -> DataFrame:
     return per.groupBy("term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= least_docs)
 
 
-def annotate(texts: DataFrame, words: list[str]) -> DataFrame:
-    """``id, word, start``: every place (from 0) where a dictionary word stands as a whole word.
+def annotate(texts: DataFrame, words: DataFrame, most: int = MAX_WORDS) -> DataFrame:
+    """``id, word, start``: every place (from 0) where a dictionary word stands as a whole word, overlapping ones included.
 
-    The dictionary is a short list of constants; each text is searched for each word once, in the JVM.
+    ``texts``: ``id, text``; ``words``: ``word``, a dictionary of at most ``most`` words (a larger one is refused). The
+    texts pass an automaton of all words once, in Arrow batches, so the work does not grow with the dictionary. Null texts
+    have no places, null and empty words stand nowhere, repeated words count once.
     """
+    known = [r.word for r in words.filter("word <> ''").select("word").distinct().limit(most + 1).collect()]
+    if len(known) > most:
+        raise ValueError(f"more than {most} words: not a dictionary")
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
 
-    def places(w: str) -> Column:
-        at = F.filter(F.sequence(F.lit(1), F.length("text")), lambda i: F.substring("text", i, F.lit(len(w))) == w)
-        return F.struct(F.lit(w).alias("word"), F.when(F.col("text").contains(w), at).otherwise(F.array().cast("array<int>")).alias("places"))
+        trie = ahocorasick.Automaton()
+        for w in known:
+            trie.add_word(w, w)
+        trie.make_automaton()
+        inside = re.compile(r"[A-Za-z0-9_]").match
+        for p in parts:
+            rows = []
+            for key, text in zip(p["id"], p["text"]):
+                for last, w in trie.iter(text):
+                    at = last - len(w) + 1
+                    if not (at and inside(text[at - 1])) and not (last + 1 < len(text) and inside(text[last + 1])):
+                        rows.append((key, w, at))
+            yield pd.DataFrame(rows, columns=["id", "word", "start"])
 
-    found = [places(w) for w in words]
-    rows = texts.select("id", "text", F.explode(F.array(*found)).alias("f")).select("id", "text", "f.word", F.explode("f.places").alias("p"))
-    bare = lambda c: ~c.rlike("[A-Za-z0-9_]")
-    before, after = F.substring("text", F.col("p") - 1, F.lit(1)), F.substring("text", F.col("p") + F.length("word"), F.lit(1))
-    return rows.filter(((F.col("p") == 1) | bare(before)) & bare(after)).select("id", "word", (F.col("p") - 1).alias("start"))
+    schema = f"id {kind}, word string, start int"
+    if not known:
+        return texts.sparkSession.createDataFrame([], schema)
+    return texts.filter("text is not null").select("id", "text").mapInPandas(run, schema)

@@ -11,7 +11,6 @@ from quillon.operators.terms import annotate, candidate_terms
 from quillon.plans.retrieval import CH, chunks
 from quillon.sources.tables import table
 
-WORDS = ["Hemoglobin", "heparin level", "fibrin clot", "clot", "culture plate", "control chart", "quality", "PT", "APTT", "血涂片", "网织红细胞"]
 
 
 def _gold(spark: SparkSession, d: str) -> DataFrame:
@@ -107,8 +106,19 @@ def match01_matching(spark: SparkSession, d: str) -> DataFrame:
     return maximum_matching(pairs, "report_id")
 
 
-def _spans(spark: SparkSession, d: str) -> DataFrame:
-    a = annotate(chunks(spark, d).select(F.col("chunk_id").alias("id"), "text"), WORDS)
+def _dictionary(spark: SparkSession, d: str, heads: bool = False) -> DataFrame:
+    """The names, abbreviations and aliases of the terminology and the names of the graph, of two characters or more.
+
+    ``heads`` adds the last words of all of them.
+    """
+    terms = table(spark, d, "lab_term").select(F.explode(F.array_compact(F.concat(F.array("standard_name", "abbreviation"), F.coalesce("aliases", F.array().cast("array<string>"))))).alias("word"))
+    words = terms.unionAll(table(spark, d, "nodes").select("name"))
+    words = words.unionAll(words.select(F.substring_index("word", " ", -1))) if heads else words
+    return words.filter(F.length("word") >= 2).distinct()
+
+
+def _spans(spark: SparkSession, d: str, heads: bool = False) -> DataFrame:
+    a = annotate(chunks(spark, d).select(F.col("chunk_id").alias("id"), "text"), _dictionary(spark, d, heads))
     return a.select("id", "word", F.col("start"), (F.col("start") + F.length("word")).alias("end"))
 
 
@@ -124,7 +134,7 @@ def gld01_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 def gld09_nested(spark: SparkSession, d: str) -> DataFrame:
     """Mentions that lie within another mention of the chunk."""
-    s = _spans(spark, d).withColumn("k", F.concat_ws(":", "start", "word"))
+    s = _spans(spark, d, heads=True)
     o = overlap_join(s.select("id", F.struct("word", "start", "end").alias("l_id"), F.col("start").alias("l_start"), F.col("end").alias("l_end")), s.select("id", F.struct("word", "start", "end").alias("r_id"), F.col("start").alias("r_start"), F.col("end").alias("r_end")), "id")
     inside = (F.col("r_id.start") <= F.col("l_id.start")) & (F.col("l_id.end") <= F.col("r_id.end")) & (F.col("l_id") != F.col("r_id"))
     return o.filter(inside).select(F.col("id").alias("chunk_id"), F.col("l_id.word").alias("inner_word"), F.col("r_id.word").alias("outer_word"), F.col("l_id.start").alias("start"))
@@ -162,7 +172,7 @@ def _scored(by: str) -> str:
  from (select {by}, sum(tp)::bigint tp, sum(fp)::bigint fp, sum(fn)::bigint fn from cf group by {by})))"""
 
 
-_SP = f"""{CH}, wd as (select unnest([{", ".join(f"'{w}'" for w in WORDS)}]) word), pl as (select chunk_id, word, text, unnest(list_filter(range(1, length(text) + 1), lambda i: substr(text, i, length(word)) = word)) p from ch join wd on contains(text, word)),
+_SP = f"""{CH}, wd as (select distinct word from (select unnest(list_concat([standard_name, abbreviation], coalesce(aliases, []))) word from lab_term union all select name from nodes) where length(word) >= 2), pl as (select chunk_id, word, text, unnest(list_filter(range(1, length(text) + 1), lambda i: substr(text, i, length(word)) = word)) p from ch join wd on contains(text, word)),
 sp as (select chunk_id, word, (p - 1)::int as start, (p - 1 + length(word))::int as "end" from pl where (p = 1 or not regexp_matches(substr(text, p - 1, 1), '[A-Za-z0-9_]')) and not regexp_matches(substr(text, p + length(word), 1), '[A-Za-z0-9_]'))"""
 SQL = {
     "agg09_scores": f"""with {_CF.replace("cf as (select obs_id", "cf as (select 'all' as \"all\", obs_id")}, {_scored('"all"')} select * from sc""",
@@ -179,7 +189,7 @@ select 'both' part, count(*) n from (select * from p intersect select * from g)
     "set07_coverage": f"""with {CH}, p as (select distinct page_id, 1 a from page_text where cleaned_text is not null), c as (select distinct page_id, 1 b from ch)
 select case when b is null then 'page_only' when a is null then 'chunk_only' else 'both' end side, count(*) n_pages from p full join c using (page_id) group by 1""",
     "trm02_annotations": f"with {_SP} select * from sp",
-    "gld09_nested": f"""with {_SP} select i.chunk_id, i.word inner_word, o.word outer_word, i.start from sp i join sp o on i.chunk_id = o.chunk_id and o.start <= i.start and i."end" <= o."end" and (i.word, i.start) <> (o.word, o.start)""",
+    "gld09_nested": f"""with {_SP.replace("select distinct word from (", "select distinct unnest([word, split_part(word, ' ', -1)]) word from (").replace(") >= 2)", ") >= 2 or true)", 1).replace("on contains(text, word)", "on length(word) >= 2 and contains(text, word)")} select i.chunk_id, i.word inner_word, o.word outer_word, i.start from sp i join sp o on i.chunk_id = o.chunk_id and o.start <= i.start and i."end" <= o."end" and (i.word, i.start) <> (o.word, o.start)""",
     "trm01_terms": """with w as (select doc_id, regexp_extract_all(lower(text), '[a-z]{3,}') w from documents where text is not null),
 p as (select doc_id, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) term from w)
 select term, count(*) n, count(distinct doc_id) n_docs from p group by term having count(distinct doc_id) >= (select greatest(20, count(*) // 100) from documents)""",
