@@ -189,7 +189,7 @@ select 'both' part, count(*) n from (select * from p intersect select * from g)
     "set07_coverage": f"""with {CH}, p as (select distinct page_id, 1 a from page_text where cleaned_text is not null), c as (select distinct page_id, 1 b from ch)
 select case when b is null then 'page_only' when a is null then 'chunk_only' else 'both' end side, count(*) n_pages from p full join c using (page_id) group by 1""",
     "trm02_annotations": f"with {_SP} select * from sp",
-    "gld09_nested": f"""with {_SP.replace("select distinct word from (", "select distinct unnest([word, split_part(word, ' ', -1)]) word from (").replace(") >= 2)", ") >= 2 or true)", 1).replace("on contains(text, word)", "on length(word) >= 2 and contains(text, word)")} select i.chunk_id, i.word inner_word, o.word outer_word, i.start from sp i join sp o on i.chunk_id = o.chunk_id and o.start <= i.start and i."end" <= o."end" and (i.word, i.start) <> (o.word, o.start)""",
+    "gld09_nested": f"""with {_SP.replace("select distinct word from (", "select distinct unnest([word, split_part(word, ' ', -1)]) word from (").replace("on contains(text, word)", "on length(word) >= 2 and contains(text, word)")} select i.chunk_id, i.word inner_word, o.word outer_word, i.start from sp i join sp o on i.chunk_id = o.chunk_id and o.start <= i.start and i."end" <= o."end" and (i.word, i.start) <> (o.word, o.start)""",
     "trm01_terms": """with w as (select doc_id, regexp_extract_all(lower(text), '[a-z]{3,}') w from documents where text is not null),
 p as (select doc_id, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) term from w)
 select term, count(*) n, count(distinct doc_id) n_docs from p group by term having count(distinct doc_id) >= (select greatest(20, count(*) // 100) from documents)""",
