@@ -41,17 +41,6 @@ def join21_nearest_before(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("id").alias("chunk_id"), "word", "start", F.last("word").over(w).alias("before")).filter("before is not null")
 
 
-def join18_line_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Different words next to each other on one line of a chunk, as unordered pairs with their number."""
-    c = chunks(spark, d).select(F.col("chunk_id").alias("id"), "text")
-    s = _spans(spark, d).join(c, "id")
-    head = F.substring("text", F.lit(1), F.col("start"))
-    s = s.select("id", "word", "start", "end", (F.length(head) - F.length(F.replace(head, F.lit("\n")))).alias("line"))
-    nxt = F.lead("word").over(W.partitionBy("id", "line").orderBy("start", "end", "word"))
-    p = s.withColumn("next", nxt).filter("next is not null and next <> word")
-    return p.groupBy(F.least("word", "next").alias("a"), F.greatest("word", "next").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def join18_all_pairs(spark: SparkSession, d: str) -> DataFrame:
     """All unordered pairs of different words on one line of a chunk, with the number of such lines."""
     c = chunks(spark, d).select(F.col("chunk_id").alias("id"), "text")
@@ -62,25 +51,6 @@ def join18_all_pairs(spark: SparkSession, d: str) -> DataFrame:
     return words.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def join12_chains(spark: SparkSession, d: str) -> DataFrame:
-    """Chains of a suggestion and a membership: how many lead to each panel-like end."""
-    e = _edges(spark, d).filter("subject_id is not null and object_id is not null")
-    first = e.filter("predicate = 'SUGGESTS'").groupBy(F.col("object_id").alias("mid")).agg(F.count(F.lit(1)).alias("n_in"))
-    second = e.filter("predicate = 'PART_OF'").groupBy(F.col("subject_id").alias("mid"), F.col("object_id").alias("end")).agg(F.count(F.lit(1)).alias("n_out"))
-    return first.join(second, "mid").groupBy("end").agg(F.sum(F.col("n_in") * F.col("n_out")).cast("bigint").alias("n_chains"))
-
-
-def grf24_completeness(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes by what they lack: no edge out, no edge in, no evidence on any edge."""
-    n = live_nodes(spark, d).select("node_id")
-    e = _edges(spark, d)
-    out = e.groupBy(F.col("subject_id").alias("node_id")).agg(F.count(F.lit(1)).alias("o"), F.max(F.col("evidence_json") != "[]").alias("ev"))
-    into = e.groupBy(F.col("object_id").alias("node_id")).agg(F.count(F.lit(1)).alias("i"))
-    j = n.join(out, "node_id", "left").join(into, "node_id", "left")
-    state = F.when(F.col("o").isNull() & F.col("i").isNull(), "isolated").when(F.col("o").isNull(), "no_output").when(F.col("i").isNull(), "no_input").when(~F.col("ev"), "no_evidence").otherwise("complete")
-    return j.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n_nodes"))
-
-
 def set06_partition(spark: SparkSession, d: str) -> DataFrame:
     """Whether the layers of the edges partition them: rows of either side that the other lacks."""
     e = _edges(spark, d).select("triple_id")
@@ -161,15 +131,6 @@ def val20_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return g.filter("n > 1").select("obs_id", (F.col("n") - 1).alias("n_repeats"))
 
 
-def val33_minimal_quote(spark: SparkSession, d: str) -> DataFrame:
-    """The shortest stretch of each chunk from one "clot" to the next, or from "heparin level" to "clot", if there is any."""
-    s = _spans(spark, d).filter("word in ('clot', 'heparin level')")
-    w = W.partitionBy("id").orderBy("start", "end")
-    gap = s.select("id", "start", (F.lead("end").over(w) - F.col("start")).alias("n")).filter("n is not null")
-    b = gap.groupBy("id").agg(F.min(F.struct("n", "start")).alias("b"))
-    return b.select(F.col("id").alias("chunk_id"), F.col("b.n").alias("n"), F.col("b.start").alias("start"))
-
-
 def val33_all_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Per chunk and pair of different words the shortest stretch, then the first, that holds each of them exactly once."""
     s = _spans(spark, d)
@@ -199,44 +160,6 @@ def gld05_bases(spark: SparkSession, d: str) -> DataFrame:
     return s.select("name", base.alias("base")).filter("base <> ''").join(known, "base", "left").select("name", "base", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def gld17_supplement(spark: SparkSession, d: str) -> DataFrame:
-    """Metric and state edges made from the interval of each term: low, normal, high."""
-    t = table(spark, d, "lab_term").select("term_id", "standard_name").distinct()
-    states = t.select("term_id", F.explode(F.array(*[F.concat("standard_name", F.lit(f" {s}")) for s in ("low", "normal", "high")])).alias("state"))
-    return states.select(F.concat(F.lit("sup:"), F.substring(F.sha2(F.concat_ws("|", "term_id", F.lit("HAS_STATE"), "state"), 256), 1, 16)).alias("triple_id"), F.col("term_id").alias("subject_id"), F.lit("HAS_STATE").alias("predicate"), F.col("state").alias("object_id"))
-
-
-def exp01_replacement(spark: SparkSession, d: str) -> DataFrame:
-    """Candidate edges that cite a chunk with a book edge are replaced by the book edges; the rest stays."""
-    ev = F.from_json("evidence_json", "array<struct<chunk_id:string>>")["chunk_id"]
-    e = _edges(spark, d).select("triple_id", "layer", F.explode_outer(ev).alias("chunk_id"))
-    book = e.filter("layer = 'book' and chunk_id is not null").select("chunk_id").distinct()
-    gone = e.filter("layer = 'candidate'").join(book, "chunk_id", "left_semi").select("triple_id").distinct()
-    return _edges(spark, d).join(gone, "triple_id", "left_anti").groupBy("layer").agg(F.count(F.lit(1)).alias("n_edges"))
-
-
-def exp03_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Four compositions of the edges, compared by size."""
-    e = _edges(spark, d)
-    groups = {"A": e, "B": e.filter("layer <> 'candidate'"), "C": e.filter("layer = 'official'").unionByName(e.filter("layer = 'book'")), "D": e.filter("status <> 'rejected'")}
-    out = [g.select("triple_id").distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("grp"), "n") for k, g in groups.items()]
-    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
-
-
-def exp04_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Share of the rows with a standard name whose right term is among the exact candidates, by site."""
-    p = _predicted(spark, d).select("obs_id", "standard_name").withColumn("hit", F.lit(1))
-    g = _gold(spark, d).join(p, ["obs_id", "standard_name"], "left")
-    return g.groupBy("site_code").agg(F.count(F.lit(1)).alias("n"), F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("coverage"))
-
-
-def exp18_complete(spark: SparkSession, d: str) -> DataFrame:
-    """Subjects all of whose edges are sound: none rejected, none without an end."""
-    e = _edges(spark, d).filter("subject_id is not null")
-    g = e.groupBy("subject_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when((F.col("status") != "rejected") & F.col("object_id").isNotNull(), 1)).alias("ok"))
-    return g.filter("n = ok").select("subject_id", "n")
-
-
 def match03_representatives(spark: SparkSession, d: str) -> DataFrame:
     """One representative per identity of the wrong predictions: the smallest observation."""
     return _conf(spark, d).filter("fp = 1").groupBy("standard_name", "site_code").agg(F.min("obs_id").alias("first_obs"), F.count(F.lit(1)).alias("n"))
@@ -248,13 +171,8 @@ SQL = {
 select document_id, case when b then 'semantic' when h then 'structural' else 'empty' end kind, count(*) n_pages from p group by 1, 2""",
     "win07_carry_forward": f"with {_O}, x as (select report_id, obs_id, min(unit) unit from o group by 1, 2) select obs_id, last_value(unit ignore nulls) over (partition by report_id order by obs_id rows between unbounded preceding and 1 preceding) unit_before from x",
     "join21_nearest_before": f"""with {_SP} select * from (select chunk_id, word, start, lag(word) over (partition by chunk_id order by start, "end", word) "before" from sp) where "before" is not null""",
-    "join18_line_pairs": f"""with {_SP}, l as (select sp.*, length(substr(text, 1, start)) - length(replace(substr(text, 1, start), chr(10), '')) line from sp join ch using (chunk_id)),
-n as (select word, lead(word) over (partition by chunk_id, line order by start, "end", word) nx from l) select least(word, nx) a, greatest(word, nx) b, count(*) n from n where nx is not null and nx <> word group by 1, 2""",
     "join18_all_pairs": f"""with {_SP}, l as (select distinct chunk_id, word, length(substr(text, 1, start)) - length(replace(substr(text, 1, start), chr(10), '')) line from sp join ch using (chunk_id))
 select x.word a, y.word b, count(*) n from l x join l y on x.chunk_id = y.chunk_id and x.line = y.line and x.word < y.word group by 1, 2""",
-    "join12_chains": f"""with {_E}, v as (select * from ed where subject_id is not null and object_id is not null) select b.object_id as "end", count(*) n_chains from v a join v b on a.object_id = b.subject_id where a.predicate = 'SUGGESTS' and b.predicate = 'PART_OF' group by 1""",
-    "grf24_completeness": f"""with {ND}, {_E}, a as (select subject_id k, count(*) o, bool_or(evidence_json <> '[]') ev from ed group by 1), b as (select object_id k, count(*) i from ed group by 1)
-select case when o is null and i is null then 'isolated' when o is null then 'no_output' when i is null then 'no_input' when not ev then 'no_evidence' else 'complete' end state, count(*) n_nodes from nd left join a on a.k = node_id left join b on b.k = node_id group by 1""",
     "set06_partition": f"""with {_E}, p as (select triple_id from ed where layer in ('book', 'official', 'candidate')) select 'missing' side, count(*) n from (select triple_id from ed except all select triple_id from p) union all select 'extra', count(*) from (select triple_id from p except all select triple_id from ed)""",
     "set08_forbidden": f"with {_FACTS} select triple_id, subject, predicate from facts where (subject, predicate) in (" + ", ".join(f"('{a}', '{b}')" for a, b in FORBIDDEN) + ")",
     "agg17_verdicts": f"with {_E}, s as (select unnest(['candidate', 'approved', 'rejected', 'final']) status) select s.status, count(ed.status) n, round(count(ed.status) / (select count(*) from ed)::double, 6) rate from s left join ed on ed.status = s.status group by 1",
@@ -271,24 +189,15 @@ select report_id, case when count(*) filter (s = 'pass') = 1 then 'case_match' w
 f as (select report_id, code, min(struct_pack(o := obs_id, i := i)) o from x group by 1, 2) select report_id, string_agg(code, ',' order by o, code) gaps from f group by 1""",
     "val10_occurrences": f"""with {_SP}, l as (select chunk_id, word, start, len(string_split(substr(text, 1, start), chr(10)))::int line_no, text from sp join ch using (chunk_id)) select chunk_id, word, start, line_no, string_split(text, chr(10))[line_no] line from l""",
     "val20_duplicates": "select obs_id, count(*) - 1 n_repeats from (select * exclude (received_at) from observation) group by all having count(*) > 1",
-    "val33_minimal_quote": f"""with {_SP}, g as (select chunk_id, start, lead("end") over (partition by chunk_id order by start, "end") - start n from sp where word in ('clot', 'heparin level'))
-select chunk_id, m.n n, m.s as start from (select chunk_id, min(struct_pack(n := n, s := start)) m from g where n is not null group by 1)""",
     "val33_all_pairs": f"""with {_SP}, p as (select x.chunk_id, x.word a, y.word b, least(x.start, y.start) s, greatest(x."end", y."end") - least(x.start, y.start) n from sp x join sp y on x.chunk_id = y.chunk_id and x.word < y.word),
 q as (select p.*, substr(text, p.s + 1, n) t from p join ch using (chunk_id)), o as (select * from q where len(string_split(t, a)) = 2 and len(string_split(t, b)) = 2)
 select chunk_id, a, b, m.n n, m.s as start from (select chunk_id, a, b, min(struct_pack(n := n, s := s)) m from o group by 1, 2, 3)""",
     "gld03_types": f"""with {ND}, g as (select name, list(distinct node_type) t from nd group by 1) select name, coalesce({", ".join(f"case when list_contains(t, '{x}') then '{x}' end" for x in ("Disease", "IndicatorState", "LabIndicator", "LabPanel", "ClinicalContext"))}, list_min(t)) node_type,
 case when len(t) = 1 then 'unanimous' else 'priority' end decided from g""",
     "gld05_bases": f"""with {ND}, s as (select distinct name, regexp_extract(name, '^(.+) (raised|lowered|critical|unchanged|high|low|[a-z]+)$', 1) base from nd where node_type = 'IndicatorState') select name, base, base in (select standard_name from lab_term) known from s where base <> ''""",
-    "gld17_supplement": "with s as (select distinct term_id, standard_name || ' ' || unnest(['low', 'normal', 'high']) state from lab_term) select 'sup:' || substr(sha256(term_id || '|HAS_STATE|' || state), 1, 16) triple_id, term_id subject_id, 'HAS_STATE' as predicate, state object_id from s",
-    "exp01_replacement": f"""with {_E}, {_CJ}, b as (select distinct chunk_id from cj where layer = 'book' and chunk_id is not null), gone as (select distinct triple_id from cj where layer = 'candidate' and chunk_id in (select chunk_id from b))
-select layer, count(*) n_edges from ed where triple_id not in (select triple_id from gone) group by 1""",
-    "exp03_groups": f"""with {_E} select 'A' grp, count(distinct triple_id) n from ed union all select 'B', count(distinct triple_id) from ed where layer <> 'candidate' union all select 'C', count(distinct triple_id) from ed where layer in ('official', 'book') union all select 'D', count(distinct triple_id) from ed where status <> 'rejected'""",
-    "exp04_coverage": f"""with {_CF}, g as (select distinct obs_id, site_code s, sample_type, standard_name from observation where standard_name in (select standard_name from lab_term)), p as (select distinct obs_id, standard_name, 1 h from pred)
-select s as site_code, count(*) n, round(count(h) / count(*)::double, 6) coverage from g left join p using (obs_id, standard_name) group by 1""",
-    "exp18_complete": f"with {_E} select subject_id, count(*) n from ed where subject_id is not null group by 1 having count(*) = count(*) filter (status <> 'rejected' and object_id is not null)",
     "match03_representatives": f"with {_CF} select standard_name, site_code, min(obs_id) first_obs, count(*) n from cf where fp = 1 group by 1, 2",
 }
 QUERIES = {f.__name__: f for f in (
-    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_line_pairs, join18_all_pairs, join12_chains, grf24_completeness, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn25_all_numbers, fn22_endpoint_keys,
-    rul08_conditions, rul13_gaps, val10_occurrences, val20_duplicates, val33_minimal_quote, val33_all_pairs, gld03_types, gld05_bases, gld17_supplement, exp01_replacement, exp03_groups, exp04_coverage, exp18_complete, match03_representatives,
+    seg13_kinds, win07_carry_forward, join21_nearest_before, join18_all_pairs, set06_partition, set08_forbidden, agg17_verdicts, agg19_channels, fn25_grounding, fn25_all_numbers, fn22_endpoint_keys,
+    rul08_conditions, rul13_gaps, val10_occurrences, val20_duplicates, val33_all_pairs, gld03_types, gld05_bases, match03_representatives,
 )}

@@ -77,18 +77,6 @@ def src32_digests(spark: SparkSession, d: str) -> DataFrame:
     return _pages(spark, d).groupBy("document_id").agg(F.sha2(F.array_join(parts, "\n"), 256).alias("digest"))
 
 
-def src07_hashes(spark: SparkSession, d: str) -> DataFrame:
-    """Pages whose stored hash is not that of their text."""
-    p = table(spark, d, "page_text").select("page_id", "cleaned_text", "cleaned_sha256").distinct()
-    return p.filter(~F.coalesce(F.sha2("cleaned_text", 256) == F.col("cleaned_sha256"), F.col("cleaned_text").isNull())).select("page_id")
-
-
-def val03_page_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Pages whose index in the chapter does not follow the one before."""
-    w = W.partitionBy("document_id", "chapter_id").orderBy("chapter_page_index")
-    return _pages(spark, d).select("page_id", "chapter_page_index", F.coalesce(F.lag("chapter_page_index").over(w), F.lit(0)).alias("previous")).filter("chapter_page_index <> previous + 1")
-
-
 def join31_facts(spark: SparkSession, d: str) -> DataFrame:
     """Edges with the names of their ends, where there are any."""
     n = live_nodes(spark, d)
@@ -128,12 +116,6 @@ def gld06_parenthetical(spark: SparkSession, d: str) -> DataFrame:
     return p.filter("label <> ''").groupBy("label", "alias").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def gld11_redirects(spark: SparkSession, d: str) -> DataFrame:
-    """Node names that are an alias of a term, redirected to its standard name."""
-    t = table(spark, d, "lab_term").select(F.explode("aliases").alias("a"), "standard_name").groupBy(fold_case(F.col("a")).alias("k")).agg(F.min("standard_name").alias("target"))
-    return live_nodes(spark, d).select("node_id", fold_case(F.col("name")).alias("k")).join(t, "k").select("node_id", "target")
-
-
 def gld08_canonical(spark: SparkSession, d: str) -> DataFrame:
     """Supplement records grouped by type and folded name: aliases united."""
     w = table(spark, d, "wbc_supplement").select("canonical_id", "entity_type", F.lower(F.trim("canonical_name")).alias("k"), F.coalesce("aliases", F.array().cast("array<string>")).alias("al"), "canonical_name").distinct()
@@ -159,12 +141,6 @@ def fn37_name_kinds(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_names"))
 
 
-def val07_overlapping(spark: SparkSession, d: str) -> DataFrame:
-    """How often the first ten characters of each chunk stand in it, overlapping places counted."""
-    c = chunks(spark, d).filter("length(text) >= 10")
-    return c.select("chunk_id", overlapping_count(F.col("text"), F.substring("text", 1, 10)).alias("n"))
-
-
 def rul16_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """A hash of every report over its rows in order."""
     o = table(spark, d, "observation").select("report_id", "obs_id", "raw_name", "value", "unit").distinct()
@@ -216,8 +192,6 @@ n as (select document_id, count(*) np from pg group by 1) select document_id, li
     "src02_markers": """with p as (select page_id, any_value(printed_page_number) n, any_value(raw_text) t from page_text where printed_page_number is not null group by 1),
 l as (select page_id, n, generate_subscripts(string_split(replace(t, chr(13), ''), chr(10)), 1)::int line_no, unnest(string_split(replace(t, chr(13), ''), chr(10))) line from p) select page_id, line_no from l where trim(line) = n::int::varchar""",
     "src32_digests": f"with {_PG} select document_id, sha256(string_agg(page_id || ':' || sha256(coalesce(cleaned_text, '')), chr(10) order by page_id)) digest from pg group by 1",
-    "src07_hashes": "select page_id from (select distinct page_id, cleaned_text, cleaned_sha256 from page_text) where not coalesce(sha256(cleaned_text) = cleaned_sha256, cleaned_text is null)",
-    "val03_page_gaps": f"with {_PG} select * from (select page_id, chapter_page_index, coalesce(lag(chapter_page_index) over (partition by document_id, chapter_id order by chapter_page_index), 0) previous from pg) where chapter_page_index <> previous + 1",
     "join31_facts": f"with {_FACTS} select * from facts",
     "flt10_facts": f"with {_FACTS} select * from facts where predicate = 'SUGGESTS' and contains(lower(subject), 'count')",
     "exp08_items": f"with {_FACTS} select 'node' kind, node_id item_id, name as snapshot from nd union all select 'edge', triple_id, coalesce(subject, '?') || ' ' || predicate || ' ' || coalesce(object, '?') from facts",
@@ -226,13 +200,11 @@ select document_id, page_id, f.line_no::int line_no, f.line line from (select *,
     "gld02_span_union": f"""with {_SP} select chunk_id, start, "end", string_agg(distinct word, '|' order by word) words from sp group by 1, 2, 3""",
     "gld06_parenthetical": r"""with n as (select distinct obs_id, raw_name from observation), p as (select trim(regexp_extract(raw_name, '^(.+?)\s*[(（]([^()（）]+)[)）]$', 1)) as label, trim(regexp_extract(raw_name, '^(.+?)\s*[(（]([^()（）]+)[)）]$', 2)) alias from n)
 select label, alias, count(*) n_rows from p where label <> '' group by 1, 2""",
-    "gld11_redirects": f"""with {ND}, t as (select replace({fold_sql('a')}, 'ß', 'ss') k, min(standard_name) target from (select unnest(aliases) a, standard_name from lab_term) group by 1) select node_id, target from nd join t on k = replace({fold_sql('name')}, 'ß', 'ss')""",
     "gld08_canonical": """with w as (select distinct canonical_id, entity_type, lower(trim(canonical_name)) k, coalesce(aliases, []) al, canonical_name from wbc_supplement)
 select entity_type, k, count(distinct canonical_id) n_records, len(list_distinct(flatten(list(al))))::int n_aliases from w group by 1, 2""",
     "fn14_stable_ids": f"""with {_FACTS} select triple_id, sha256('["' || subject_id || '","' || predicate || '","' || object_id || '"]') stable_id from ed where subject_id is not null and object_id is not null""",
     "fn12_safe_ids": f"with {ND} select distinct name, regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') || '-' || substr(sha256(name), 1, 16) safe_id from nd",
     "fn37_name_kinds": "select case when regexp_matches(raw_name, '[㐀-鿿]') then 'ideographs' when regexp_matches(raw_name, '^[A-Z][A-Z0-9%#.]*$') then 'abbreviation' when regexp_matches(raw_name, '[À-ÿ]') then 'accented' else 'plain' end kind, count(*) n_names from (select distinct raw_name from observation where raw_name is not null) group by 1",
-    "val07_overlapping": f"with {CH} select chunk_id, len(list_filter(range(1, length(text) + 1), lambda i: substr(text, i, 10) = substr(text, 1, 10)))::int n from ch where length(text) >= 10",
     "rul16_snapshots": "select report_id, sha256(string_agg(obs_id || '|' || coalesce(raw_name, '') || '|' || coalesce(value, '') || '|' || coalesce(unit, ''), chr(10) order by obs_id, coalesce(raw_name, ''), coalesce(value, ''), coalesce(unit, ''))) as snapshot, count(*) n_rows from (select distinct report_id, obs_id, raw_name, value, unit from observation) group by 1",
     "srt06_interleave": f"""with {CH}, r as (select page_id, chunk_id, 0 c, row_number() over (partition by page_id order by length(text) desc, chunk_id) k from ch union all select page_id, chunk_id, 1, row_number() over (partition by page_id order by s, chunk_id) from ch),
 f as (select page_id, chunk_id, min(k * 2 + c) o from r group by 1, 2) select page_id, chunk_id, place from (select page_id, chunk_id, (row_number() over (partition by page_id order by o, chunk_id))::int place from f) where place <= 3""",
@@ -241,7 +213,7 @@ f as (select page_id, chunk_id, min(k * 2 + c) o from r group by 1, 2) select pa
 r(n, c) as (select distinct t, t from t union select b.t, r.c from r join t a on a.t = r.n join t b on b.k = a.k) select n term, min(c) component from r group by n""",
 }
 QUERIES = {f.__name__: f for f in (
-    rpt01_cells, rpt03_rows, grf06_tables, grf07_formulas, seg24_units, src03_repeated_lines, src02_markers, src32_digests, src07_hashes, val03_page_gaps, join31_facts, flt10_facts, exp08_items, join25_source_lines,
-    gld02_span_union, gld06_parenthetical, gld11_redirects, gld08_canonical, fn14_stable_ids, fn12_safe_ids, fn37_name_kinds, val07_overlapping, rul16_snapshots, srt06_interleave, agg26_vote, agg24_catalog,
+    rpt01_cells, rpt03_rows, grf06_tables, grf07_formulas, seg24_units, src03_repeated_lines, src02_markers, src32_digests, join31_facts, flt10_facts, exp08_items, join25_source_lines,
+    gld02_span_union, gld06_parenthetical, gld08_canonical, fn14_stable_ids, fn12_safe_ids, fn37_name_kinds, rul16_snapshots, srt06_interleave, agg26_vote, agg24_catalog,
 )}
 

@@ -87,14 +87,6 @@ def agg31_edges(spark: SparkSession, d: str) -> DataFrame:
     return m.select("subject_id", "predicate", "object_id", "status", "layer", F.concat_ws(",", "origins").alias("origins"), "n_rows")
 
 
-def agg23_components(spark: SparkSession, d: str) -> DataFrame:
-    """Connected components of the official layer."""
-    e = _edges(spark, d).filter("layer = 'official'")
-    links = e.select(F.col("subject_id").alias("a"), F.col("object_id").alias("b"))
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).filter("node is not null")
-    return components(ends, links)
-
-
 def agg23_all_components(spark: SparkSession, d: str) -> DataFrame:
     """Connected components of all edges, whatever their layer."""
     links = _edges(spark, d).select(F.col("subject_id").alias("a"), F.col("object_id").alias("b"))
@@ -160,9 +152,6 @@ case when object_id is not null and ot is null then 'dangling_object' end, case
 array_to_string({_ORIG}, ',') origins, count(*) n_rows from (select distinct node_id, node_type, name, status, origins_json, created_at from nodes) group by node_id""",
     "agg31_edges": f"""with {_E} select subject_id, predicate, object_id, arg_max(status, struct_pack(a := created_at, b := status)) status, arg_max(layer, struct_pack(a := created_at, b := layer)) layer,
 array_to_string({_ORIG}, ',') origins, count(*) n_rows from ed where subject_id is not null and object_id is not null group by 1, 2, 3""",
-    "agg23_components": f"""with recursive {_E}, l as (select subject_id a, object_id b from ed where layer = 'official'), nn as (select distinct n from (select a n from l union all select b from l) where n is not null),
-u as (select a x, b y from l where a is not null and b is not null union select b, a from l where a is not null and b is not null), r(n, c) as (select n, n from nn union select u.y, r.c from r join u on u.x = r.n)
-select n node, min(c) component from r group by n""",
     "grf20_final": f"""with {ND}, {_E}, p as (select subject_id, case predicate when 'SUGGESTS' then 'INDICATES' when 'OBSERVED_IN' then 'SEEN_IN' else predicate end p, object_id from ed
 where status <> 'rejected' and subject_id in (select node_id from nd) and object_id in (select node_id from nd)) select distinct 'final:' || substr(sha256(subject_id || '|' || p || '|' || object_id), 1, 16) triple_id, subject_id, p as predicate, object_id from p""",
     "grf25_is_a": f"""with {ND}, nm as (select lower(name) as name from nd union select lower(unnest(list_concat([standard_name], aliases))) from lab_term), s as (select name, substr(name, i::bigint) parent from (select name, unnest(range(3, greatest(length(name), 3) + 1)) i from nm))
@@ -176,5 +165,5 @@ _QT = f"{_E}, {CH}, {_CITE}, qt as (select distinct triple_id, c.chunk_id, q exa
 SQL["val06_unique_quotes"] = f"with {_QT} select triple_id, chunk_id, exact_quote, instr(text, exact_quote)::int place from qt where length(text) - length(replace(text, exact_quote, '')) = length(exact_quote)"
 SQL["val07_quote_places"] = f"with {_QT} select triple_id, chunk_id, exact_quote, len(list_filter(range(1, length(text) + 1), lambda i: substr(text, i, length(exact_quote)) = exact_quote))::int n from qt"
 QUERIES = {f.__name__: f for f in (
-    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_components, agg23_all_components, grf20_final, grf25_is_a, val06_unique_quotes, val07_quote_places, val30_hydrate, val31_vectors,
+    join10_adjacency, grf01_search, agg27_strongest, join09_evidence, agg06_counts, grf19_constraints, agg30_upsert, agg31_edges, agg23_all_components, grf20_final, grf25_is_a, val06_unique_quotes, val07_quote_places, val30_hydrate, val31_vectors,
 )}

@@ -62,13 +62,6 @@ def agg13_rollup(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.coalesce("sample_type", F.lit("(all)")).alias("sample_type"), "tp", "fp", "fn", p["f1"].alias("f1"))
 
 
-def agg14_confusions(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of wrong predicted and right name with their number."""
-    g = _gold(spark, d).select("obs_id", F.col("standard_name").alias("gold"))
-    p = _predicted(spark, d).select("obs_id", F.col("standard_name").alias("predicted"))
-    return p.join(g, "obs_id").filter("gold <> predicted").groupBy("gold", "predicted").agg(F.count(F.lit(1)).alias("n"))
-
-
 def agg15_issues(spark: SparkSession, d: str) -> DataFrame:
     """Missed names grouped to issues with their severity."""
     return issues(_conf(spark, d).filter("fn = 1"), "standard_name", ["Hemoglobin", "Potassium"])
@@ -181,7 +174,6 @@ SQL = {
     "agg12_macro": f'with {_CF}, {_scored("standard_name")} select round(avg("precision"), 4) "precision", round(avg(recall), 4) recall, round(avg(f1), 4) f1, count(*) n_terms from sc',
     "agg13_rollup": f"""with {_CF}, a as (select coalesce(sample_type, '(all)') sample_type, sum(tp)::bigint tp, sum(fp)::bigint fp, sum(fn)::bigint fn from cf group by rollup (sample_type))
 select sample_type, tp, fp, fn, round(case when tp = 0 then 0 else 2.0e0 * tp / (2 * tp + fp + fn) end, 6) f1 from a""",
-    "agg14_confusions": f"with {_CF} select g.standard_name gold, p.standard_name predicted, count(*) n from gold g join pred p using (obs_id) where g.standard_name <> p.standard_name group by 1, 2",
     "agg15_issues": f"with {_CF} select standard_name reason, count(*) n, case when count(*) < 5 then 'low' when count(*) < 20 then 'medium' else 'high' end severity, standard_name in ('Hemoglobin', 'Potassium') critical from cf where fn = 1 group by 1",
     "set01_sets": f"""with {_CF}, p as (select distinct obs_id, standard_name from pred), g as (select distinct obs_id, standard_name from gold)
 select 'both' part, count(*) n from (select * from p intersect select * from g) union all select 'only_predicted', count(*) from (select * from p except select * from g) union all select 'only_gold', count(*) from (select * from g except select * from p)""",
@@ -198,6 +190,6 @@ select term, count(*) n, count(distinct doc_id) n_docs from p group by term havi
 select round(avg(r), 2) mean_recall, count(*) n_months from x""",
 }
 QUERIES = {f.__name__: f for f in (
-    agg09_scores, agg11_by_site, agg14_by_term, agg12_macro, agg13_rollup, agg14_confusions, agg15_issues, set01_sets, set02_first_wins, set07_coverage, match01_matching, trm02_annotations, gld01_mentions,
+    agg09_scores, agg11_by_site, agg14_by_term, agg12_macro, agg13_rollup, agg15_issues, set01_sets, set02_first_wins, set07_coverage, match01_matching, trm02_annotations, gld01_mentions,
     gld09_nested, trm01_terms, src19_properties, exp06_means,
 )}

@@ -128,14 +128,6 @@ def val01_chunk_package(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.explode(F.array_compact(F.array(*[F.when(x, k) for k, x in rules.items()]))).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
-def val06_unique_lines(spark: SparkSession, d: str) -> DataFrame:
-    """First lines of the chunks that stand exactly once on their page."""
-    p = _pages(spark, d).select("page_id", "cleaned_text").filter("cleaned_text is not null")
-    c = chunks(spark, d).select("chunk_id", "page_id", F.element_at(F.split("text", "\n"), 1).alias("q")).filter("length(q) > 0").join(p, "page_id")
-    once = (F.length("cleaned_text") - F.length(F.replace("cleaned_text", F.col("q"), F.lit("")))) == F.length("q")
-    return c.filter(once).select("chunk_id", F.expr("locate(q, cleaned_text)").alias("place"))
-
-
 def fn15_line_numbers(spark: SparkSession, d: str) -> DataFrame:
     """The line of the page on which each chunk begins."""
     p = _pages(spark, d).select("page_id", "cleaned_text").filter("cleaned_text is not null")
@@ -213,8 +205,6 @@ select chunk_id, a::int as "window", (least(e, a + 500) - greatest(s, a))::int n
 j as (select c.*, pg.page_id p, cleaned_text t from c left join pg on pg.page_id = c.page_id)
 select r as rule, count(*) n_chunks from (select unnest([case when sha256(text) <> chunk_sha256 then 'hash' end, case when char_count is null or char_count <> length(text) then 'char_count' end, case when p is null then 'page' end,
 case when b - a <> length(text) then 'length' end, case when t is not null and substr(t, a + 1, b - a) <> text then 'slice' end]) r from j) where r is not null group by 1""",
-    "val06_unique_lines": f"""with {CH}, {_PG}, c as (select chunk_id, string_split(text, chr(10))[1] q, cleaned_text t from ch join pg using (page_id) where cleaned_text is not null)
-select chunk_id, strpos(t, q)::int place from c where length(q) > 0 and length(t) - length(replace(t, q, '')) = length(q)""",
     "fn15_line_numbers": f"with {CH}, {_PG} select chunk_id, (1 + length(substr(cleaned_text, 1, s)) - length(replace(substr(cleaned_text, 1, s), chr(10), '')))::int line_no from ch join pg using (page_id) where cleaned_text is not null",
     "srt05_natural": f"with {_PG} select page_id, (row_number() over (partition by document_id order by regexp_replace(page_id, '.*:', ''), page_id))::int place from pg",
     "src11_evidence_index": f"""with {CH} select 'DOCUMENT_HAS_PAGE' kind, count(*) n from (select distinct document_id, page_id from ch) union all select 'PAGE_HAS_CHUNK', count(*) from ch
@@ -225,5 +215,5 @@ union all select 'CHUNK_NEXT', count(*) from (select lead(chunk_id) over (partit
 SQL["srt05_natural"] = f"with {_PG} select page_id, (row_number() over (partition by document_id order by chapter_id, page_id))::int place from pg"
 QUERIES = {f.__name__: f for f in (
     seg01_newlines, seg08_lines, seg02_furniture, seg09_headings, seg10_sections, seg06_slices, seg07_ids, seg18_windows, seg20_context, seg29_first_sentence, seg12_overlap, win01_chunk_next, win04_contiguity,
-    win05_offsets, agg21_reconstruct, val01_chunk_package, val06_unique_lines, fn15_line_numbers, fn06_match_keys, srt05_natural, src11_evidence_index, exp12_selection, exp13_progress,
+    win05_offsets, agg21_reconstruct, val01_chunk_package, fn15_line_numbers, fn06_match_keys, srt05_natural, src11_evidence_index, exp12_selection, exp13_progress,
 )}
