@@ -36,6 +36,11 @@ def write_chunks(spark, folder, texts):
     write(spark, folder, "evidence_chunk", rows, "chunk_id string, page_id string, document_id string, chapter_id string, chapter_page_index int, cleaned_char_start int, cleaned_char_end int, text string, chunk_sha256 string, deleted_at string")
 
 
+def write_dictionary(spark, folder):
+    write(spark, folder, "lab_term", [("t1", "PT", "APTT", ["quality"])], "term_id string, standard_name string, abbreviation string, aliases array<string>")
+    write(spark, folder, "nodes", [("n1", "clot"), ("n2", "fibrin clot"), ("n3", None), ("n4", "z")], "node_id string, name string")
+
+
 def test_numbers_of_every_line_are_grounded(spark, tmp_path, monkeypatch):
     from quillon.plans import contracts
 
@@ -70,6 +75,7 @@ def test_matching_takes_whole_names(spark, tmp_path):
 def test_all_pairs_of_a_line(spark, tmp_path):
     from quillon.plans.contracts import join18_all_pairs
 
+    write_dictionary(spark, tmp_path)
     write_chunks(spark, tmp_path, ["PT, quality and clot, PT\nAPTT", "clot PT"])
     assert {tuple(r) for r in join18_all_pairs(spark, str(tmp_path)).collect()} == {("PT", "clot", 2), ("PT", "quality", 1), ("clot", "quality", 1)}
 
@@ -77,5 +83,6 @@ def test_all_pairs_of_a_line(spark, tmp_path):
 def test_minimal_quotes_of_all_pairs(spark, tmp_path):
     from quillon.plans.contracts import val33_all_pairs
 
+    write_dictionary(spark, tmp_path)
     write_chunks(spark, tmp_path, ["clot x clot yy quality\nz PT quality", "clot clot", "APTT PT", "fibrin clot"])
     assert {tuple(r) for r in val33_all_pairs(spark, str(tmp_path)).collect()} == {("c0", "clot", "quality", 15, 7), ("c0", "PT", "clot", 20, 7), ("c0", "PT", "quality", 10, 25), ("c3", "clot", "fibrin clot", 11, 0)}
