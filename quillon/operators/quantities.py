@@ -27,7 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quillon.functions.units import plain, resolve
-from quillon.session import broadcast_if_small
+from quillon.operators.joins import lookup_join
+from quillon.session import broadcast_if_small, checkpointed
 
 #: Bound on the dictionary of terms that is sent to every task; the most words that one unit is spelled in.
 MAX_TERMS, UNIT_WORDS = 20_000, 12
@@ -135,8 +136,17 @@ def normalize_quantities(observations: DataFrame, terms: DataFrame, conversions:
     used = observations.select("obs_id", "raw_name", "standard_name", "value", "unit", "unit_source", "ref_lower", "ref_upper", "remark")
     rows = used.filter(F.col("standard_name").isNotNull()).join(names, "standard_name")
     given = F.when(~F.col("unit_source").eqNullSafe("controlled_default"), F.col("unit"))
+    # texts of the unit column that are no unit of their term: found once over the distinct ones, so that these rows are
+    # read further like rows without a unit
+    none = F.lit(None).cast("string")
+    texts = rows.select(F.col("standard_name").alias("_on"), F.trim(given).alias("_og")).filter("_og <> ''").distinct()
+    odd = checkpointed(texts.withColumn("_r", _stated(fields)("_on", "_og", none, none, none)).filter("_r.factor is null").select("_on", "_og"))
+    rows = rows.withColumn("_g", F.trim(given))
+    small = broadcast_if_small(odd, MAX_TERMS)
+    on = (F.col("standard_name") == F.col("_on")) & (F.col("_g") == F.col("_og"))
+    rows = lookup_join(rows, odd, ["standard_name", "_g"], ["_on", "_og"]) if small is odd else rows.join(small, on, "left")
     # a row states its unit in the unit column nine times in ten; the longer texts are only sent to Python where it does not
-    bare = given.isNull() | (F.trim(given) == "")
+    bare = given.isNull() | (F.trim(given) == "") | F.col("_og").isNotNull()
     stated = _stated(fields)("standard_name", given, F.when(bare, _rest(F.col("value"))), F.when(bare, F.col("raw_name")), F.when(bare, F.col("remark")))
     rows = rows.withColumn("_s", stated).withColumn("value_num", number_of(F.col("value")))
     # typical interval of each term in its default unit, from the rows that state their unit
