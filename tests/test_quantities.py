@@ -68,7 +68,7 @@ def test_unit_texts_that_are_no_unit_hide_nothing(spark):
     conv = spark.createDataFrame([("T1", "g/dL", 10.0)], "term_id string, source_unit string, factor double")
     cols = "obs_id bigint, raw_name string, standard_name string, value string, unit string, unit_source string, ref_lower double, ref_upper double, remark string"
     row = lambda i, v, u, name="HGB", remark=None, lo=None: (i, name, "Hemoglobin", v, u, "report", lo, None, remark)
-    data = [row(1, "14", "see remark", remark="units: g/dL"), row(2, "14 g/dL", "-"), row(3, "14", " ? ", name="HGB (g/dL)"), row(4, "140", "g/L", remark="previous 12 g/dL", lo=120.0), row(5, "14", "-", lo=12.0), row(6, "14", "-"), row(7, "14", "gram per deci litre")]
+    data = [row(1, "14", "see remark", remark="units: g/dL"), row(2, "14 g/dL", "-"), row(3, "14", " ? ", name="HGB (g/dL)"), row(4, "140", "g/L", remark="previous 12 g/dL", lo=120.0), row(5, "14", "-", lo=12.0), row(6, "14", "-"), row(7, "14", "gram per decilitre")]
     out = {r.obs_id: (r.unit_origin, r.factor) for r in normalize_quantities(spark.createDataFrame(data, cols), terms, conv).collect()}
     assert out == {1: ("remark", 10.0), 2: ("value", 10.0), 3: ("raw_name", 10.0), 4: ("unit", 1.0), 5: ("interval", 10.0), 6: ("none", None), 7: ("unit", 10.0)}
 
