@@ -5,7 +5,10 @@ Null keys and texts match nothing and are reported where the operator reports; r
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quillon.functions.text import disjoint_count, overlapping_count
 from quillon.operators.graph import components
@@ -104,3 +107,50 @@ def range_graph(ranges: DataFrame) -> DataFrame:
     )]))
     metric = F.array(F.struct(F.col("panel").alias("subject"), F.lit("HAS_METRIC").alias("predicate"), F.col("name").alias("object"), F.lit(None).cast("string").alias("condition")))
     return one.select(F.explode(F.concat(metric, states)).alias("x")).select("x.*")
+
+
+def indexed_places(claims: DataFrame, places: DataFrame) -> DataFrame:
+    """``claim_id, start``: where each claimed mention stands.
+
+    ``claims``: ``claim_id, id, word, claimed, nth`` (a claimed offset and the number of the occurrence from 0, either may be
+    null); ``places``: ``id, word, start``. A claimed offset that is an occurrence wins, else the only occurrence, else the
+    ``nth``; null where none of them holds.
+    """
+    per = places.select("id", "word", "start").distinct().withColumn("n", F.row_number().over(W.partitionBy("id", "word").orderBy("start")) - 1)
+    rows = claims.join(per, ["id", "word"], "left").groupBy("claim_id").agg(
+        F.max(F.when(F.col("start") == F.col("claimed"), F.col("start"))).alias("own"), F.count("start").alias("k"), F.min("start").alias("only"), F.max(F.when(F.col("n") == F.col("nth"), F.col("start"))).alias("by_index"),
+    )
+    return rows.select("claim_id", F.coalesce("own", F.when(F.col("k") == 1, F.col("only")), "by_index").alias("start"))
+
+
+def anchor(text: str, start: int, end: int, most: int = 32) -> tuple[int, int] | None:
+    """The widest span around ``text[start:end]``, at most ``most`` characters more on either side, that stands once in the text."""
+    for k in range(most, -1, -1):
+        a, b = max(0, start - k), min(len(text), end + k)
+        at = text.find(text[a:b])
+        if at == a and text.find(text[a:b], at + 1) < 0:
+            return a, b
+    return None
+
+
+def anchors(mentions: DataFrame, texts: DataFrame, most: int = 32) -> DataFrame:
+    """``id, start, end, a_start, a_end``: mentions with the unique context that anchors them, null where there is none.
+
+    ``mentions``: ``id, start, end``; ``texts``: ``id, text``. The context shrinks from ``most`` characters on either side until
+    it stands once; overlapping occurrences count. Texts and their mentions meet in one row each, no longer than the text.
+    """
+    per = mentions.select("id", "start", "end").distinct().groupBy("id").agg(F.collect_list("start").alias("s"), F.collect_list("end").alias("e")).join(texts.filter("text is not null"), "id")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            rows = [(k, int(a), int(b), *(anchor(t, a, b, most) or (None, None))) for k, t, ss, ee in zip(p["id"], p["text"], p["s"], p["e"]) for a, b in zip(ss, ee)]
+            yield pd.DataFrame(rows, columns=["id", "start", "end", "a_start", "a_end"]).astype({"a_start": "Int32", "a_end": "Int32"})
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return per.select("id", "text", "s", "e").mapInPandas(run, f"id {kind}, start int, end int, a_start int, a_end int")
+
+
+def longest_spans(spans: DataFrame) -> DataFrame:
+    """``id, word, start``: of each text the longest word, the first of equal ones by place, then by word."""
+    best = spans.groupBy("id").agg(F.min(F.struct((-F.length("word")).alias("n"), "start", "word")).alias("b"))
+    return best.select("id", "b.word", "b.start")

@@ -71,3 +71,21 @@ def tier_scores(predicted: DataFrame, expected: DataFrame, tiers: dict[str, tupl
     counts = rows.groupBy(F.when(F.col("g") == 1, tier).alias("tier")).agg(F.count(F.when((F.col("p") == 1) & (F.col("g") == 1), 1)).alias("tp"), F.count(F.when(F.col("g").isNull(), 1)).alias("fp"), F.count(F.when(F.col("p").isNull(), 1)).alias("fn"))
     named = reduce(DataFrame.unionAll, [counts.agg(F.lit(t).alias("tier"), *[F.coalesce(F.sum(F.when(F.col("tier").isNull() if c == "fp" else F.col("tier") == t, F.col(c))), F.lit(0)).alias(c) for c in ("tp", "fp", "fn")]) for t in tiers])
     return named.select("tier", "tp", "fp", "fn", *_measures())
+
+
+def layered_scores(predicted: DataFrame, expected: DataFrame) -> DataFrame:
+    """``layer, tp, fp, fn, precision, recall, f1`` of relations by what is compared: mentions (names), canonical entities
+    (type and name without spaces), links (which names stand for which entity type) and relations (canonical ends)."""
+    label = lambda t, n: F.concat_ws(_SEPARATOR, t, F.regexp_replace(n, r"\s+", ""))
+
+    def keys(df: DataFrame, side: str) -> DataFrame:
+        ends = [(F.col(f"{x}_type"), F.col(f"{x}_name")) for x in "so"]
+        made = [F.struct(F.lit("mention").alias("layer"), n.alias("k")) for _, n in ends] + [F.struct(F.lit("canonical").alias("layer"), label(t, n).alias("k")) for t, n in ends]
+        made += [F.struct(F.lit("link").alias("layer"), F.concat_ws(_SEPARATOR, n, t).alias("k")) for t, n in ends]
+        made += [F.struct(F.lit("relation").alias("layer"), F.concat_ws(_SEPARATOR, label(*ends[0]), F.col("predicate"), label(*ends[1])).alias("k"))]
+        return df.select(F.explode(F.array(*made)).alias("x")).select("x.*").distinct().withColumn("p", F.lit(side == "p")).withColumn("g", F.lit(side == "g"))
+
+    both = keys(predicted, "p").unionAll(keys(expected, "g")).groupBy("layer", "k").agg(F.max("p").alias("p"), F.max("g").alias("g"))
+    n = lambda c: F.count(F.when(c, 1))
+    p, g = F.col("p"), F.col("g")
+    return both.groupBy("layer").agg(n(p & g).alias("tp"), n(p & ~g).alias("fp"), n(g & ~p).alias("fn")).select("layer", "tp", "fp", "fn", *_measures())

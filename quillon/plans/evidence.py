@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from quillon.functions import names as N
-from quillon.operators.evidence import judged_relations, merged_names, range_graph, redirected, replayed_quotes, within_quote
+from quillon.operators.evidence import anchors, indexed_places, judged_relations, longest_spans, merged_names, range_graph, redirected, replayed_quotes, within_quote
 from quillon.operators.segments import overlap_join
 from quillon.plans.graph import _edges
 from quillon.plans.names import _ED, _QU, _WS, _unescaped_sql
@@ -172,6 +172,24 @@ def gld13_anchored_gold(spark: SparkSession, d: str) -> DataFrame:
     return g.select("triple_id", "chunk_id", reason.alias("reason"))
 
 
+def val09_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """Claimed mentions found again: offsets that are off by one at odd places, the claims numbered backwards in a chunk and word."""
+    s = _spans(spark, d).select("id", "word", "start")
+    w = W.partitionBy("id", "word").orderBy(F.desc("start"))
+    claims = s.select(F.concat_ws(":", "id", "word", "start").alias("claim_id"), "id", "word", (F.col("start") + F.col("start") % 2).alias("claimed"), (F.row_number().over(w) - 1).alias("nth"))
+    return indexed_places(claims, s)
+
+
+def fn16_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions with the context of up to 32 characters on either side that stands once in their chunk."""
+    return anchors(_spans(spark, d), _bound(spark, d).select(F.col("chunk_id").alias("id"), "text")).withColumnRenamed("id", "chunk_id")
+
+
+def gld12_longest_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The longest dictionary word of each chunk and its first place."""
+    return longest_spans(_spans(spark, d)).withColumnRenamed("id", "chunk_id")
+
+
 def src29_tasks(spark: SparkSession, d: str) -> DataFrame:
     """Annotation tasks: a row per chunk with its distinct spans in order."""
     s = _spans(spark, d).groupBy(F.col("id").alias("chunk_id")).agg(F.array_sort(F.collect_set(F.struct("start", "end", "word"))).alias("spans"))
@@ -262,6 +280,10 @@ select triple_id, subject_id rule_id, predicate, object_id from e join w using (
     "gld13_anchored_gold": f"""with {_SP}, {ND}, {_RF}, w as (select distinct chunk_id, word from sp), e as (select distinct r.triple_id, r.object_id, r.chunk_id, ed.subject_id from rf r join ed using (triple_id)),
 x as (select e.triple_id, e.chunk_id, s.name s_name, o.name o_name, exists (select 1 from w where w.chunk_id = e.chunk_id and word = s.name) st, exists (select 1 from w where w.chunk_id = e.chunk_id and word = o.name) ot from e left join nd s on s.node_id = subject_id left join nd o on o.node_id = object_id)
 select triple_id, min(chunk_id) filter (st and ot) chunk_id, case when bool_or(st and ot) then 'kept' when bool_or(s_name is null or o_name is null) then 'no_node' when bool_or(st) then 'no_object' when bool_or(ot) then 'no_subject' else 'neither' end reason from x group by 1""",
+    "val09_indexed": f"""with {_SP}, c as (select chunk_id || ':' || word || ':' || start claim_id, chunk_id, word, start + start % 2 claimed, row_number() over (partition by chunk_id, word order by start desc) - 1 nth from sp),
+q as (select chunk_id, word, start, row_number() over (partition by chunk_id, word order by start) - 1 n from sp)
+select claim_id, coalesce(max(start) filter (start = claimed), case when count(*) = 1 then min(start) end, max(start) filter (n = nth)) as start from c join q using (chunk_id, word) group by 1""",
+    "gld12_longest_spans": f"""with {_SP} select chunk_id, word, start from (select *, row_number() over (partition by chunk_id order by length(word) desc, start, word) r from sp) where r = 1""",
     "src29_tasks": f"""with {_SP}, s as (select distinct chunk_id, start, "end" e, word from sp) select chunk_id, count(*) n_spans, string_agg(start || ':' || e || ':' || word, ';' order by start, e, word) spans from s group by 1""",
     "exp14_compacted": f"""with {_BO}, {_BL}, x as (select chunk_id, line_no, regexp_replace(line, '[{_WS}]+', '', 'g') t, s + length(regexp_replace(line, '[{_WS}]+$', '')) - 1 l from bl where not regexp_matches(ltrim(line), '^(?:#|```|\\$\\$)'))
 select chunk_id, sum(length(t))::bigint n_kept, sha256(string_agg(t, '' order by line_no)) sha256, max(l)::int last_offset from x where t <> '' group by 1""",
@@ -272,5 +294,5 @@ select h.chunk_id, h.line_start, h."level"::int "level", coalesce(min(x.line_sta
 }
 QUERIES = {f.__name__: f for f in (
     val06_quotes, val07_overlapping_quotes, val08_within_quotes, val03_manifest, val26_relationships, agg18_adjudication, agg23_merged_names, gld11_alias_redirects, gld17_range_graph, exp01_range_replacement, exp03_groups, exp04_gold_coverage,
-    exp18_complete_rules, grf24_rule_states, grf18_dependencies, gld13_anchored_gold, src29_tasks, exp14_compacted, exp15_range_contract, exp16_compact_graph, win06_section_ends,
+    exp18_complete_rules, grf24_rule_states, grf18_dependencies, gld13_anchored_gold, val09_indexed, fn16_anchors, gld12_longest_spans, src29_tasks, exp14_compacted, exp15_range_contract, exp16_compact_graph, win06_section_ends,
 )}

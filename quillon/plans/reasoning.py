@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quillon.operators.matching import case_scores, project_relations, project_rules, rule_matches, tier_scores
+from quillon.operators.matching import case_scores, layered_scores, project_relations, project_rules, rule_matches, tier_scores
 from quillon.operators.reasoning import chained, condition_facts, endpoint_mismatches, reasoning_paths, reportable, rule_issues
 from quillon.plans.graph import _edges
 from quillon.plans.retrieval import ND, live_nodes
@@ -128,6 +128,12 @@ def match05_case_scores(spark: SparkSession, d: str) -> DataFrame:
     return case_scores(r.filter("layer = 'candidate'"), r.filter("layer = 'official'"), "s_type")
 
 
+def match06_layers(spark: SparkSession, d: str) -> DataFrame:
+    """The candidate layer against the official one by mentions, canonical entities, links and relations."""
+    r = _named(spark, d)
+    return layered_scores(r.filter("layer = 'candidate'"), r.filter("layer = 'official'"))
+
+
 def agg37_tiers(spark: SparkSession, d: str) -> DataFrame:
     """The candidate layer against each tier of the official one; what meets the other tier's targets is ignored."""
     r = _named(spark, d)
@@ -175,9 +181,12 @@ select distinct rule_id, 'subject_endpoint_mismatch' reason from d where not fit
     "match05_case_scores": f"""with {_NR}, x as (select distinct layer, s_type as "case", 'entity' kind, s_name k from nr union all select distinct layer, s_type, 'relation', s_name || chr(31) || predicate || chr(31) || o_type || chr(31) || o_name from nr),
 y as (select "case", kind, k, bool_or(layer = 'candidate') p, bool_or(layer = 'official') g from x where layer in ('candidate', 'official') group by 1, 2, 3),
 z as (select "case", kind, count(*) filter (p and g) tp, count(*) filter (p and not g) fp, count(*) filter (g and not p) fn from y group by 1, 2) select "case", kind, tp, fp, fn, {_F1} from z""",
+    "match06_layers": f"""with {_NR}, e as (select layer, unnest([s_type, o_type]) t, unnest([s_name, o_name]) n from nr), x as (select distinct layer l, 'mention' kind, n k from e union all select distinct layer, 'canonical', t || chr(31) || regexp_replace(n, '\\s+', '', 'g') from e union all select distinct layer, 'link', n || chr(31) || t from e
+ union all select distinct layer, 'relation', s_type || chr(31) || regexp_replace(s_name, '\\s+', '', 'g') || chr(31) || predicate || chr(31) || o_type || chr(31) || regexp_replace(o_name, '\\s+', '', 'g') from nr),
+y as (select kind, k, bool_or(l = 'candidate') p, bool_or(l = 'official') g from x where l in ('candidate', 'official') group by 1, 2), z as (select kind layer, count(*) filter (p and g) tp, count(*) filter (p and not g) fp, count(*) filter (g and not p) fn from y group by 1) select layer, tp, fp, fn, {_F1} from z""",
     "agg37_tiers": f"""with {_NR}, t as (select unnest(['claim', 'state']) tier), g as (select distinct s_name, predicate, o_name, case when predicate in {_in(TIERS["claim"])} then 'claim' else 'state' end tier from nr where layer = 'official'),
 p as (select distinct s_name, predicate, o_name from nr where layer = 'candidate'),
 z as (select t.tier, (select count(*) from p join g using (s_name, predicate, o_name) where g.tier = t.tier) tp, (select count(*) from p where not exists (select 1 from g where (g.s_name, g.predicate, g.o_name) = (p.s_name, p.predicate, p.o_name))) fp,
  (select count(*) from g where g.tier = t.tier and not exists (select 1 from p where (g.s_name, g.predicate, g.o_name) = (p.s_name, p.predicate, p.o_name))) fn from t) select tier, tp, fp, fn, {_F1} from z""",
 }
-QUERIES = {f.__name__: f for f in (rul09_facts, rul11_paths, rul11_rejections, rul12_chained, flt13_reportable, rul03_issues, match02_relations, match02_rules, match04_rule_matches, match05_case_scores, agg37_tiers)}
+QUERIES = {f.__name__: f for f in (rul09_facts, rul11_paths, rul11_rejections, rul12_chained, flt13_reportable, rul03_issues, match02_relations, match02_rules, match04_rule_matches, match05_case_scores, match06_layers, agg37_tiers)}

@@ -36,3 +36,38 @@ def test_range_graph(spark):
     rows = [("K", "p", "mmol/L", 3.5, 5.1)] * 2 + [("Na", "p", "mmol/L", None, 145.0), ("X", "p", "u", None, None), ("D", "p", "u", 1.0, 2.0), ("D", "p", "u", 1.0, 3.0)]
     out = {(r.subject, r.object): r.condition for r in range_graph(spark.createDataFrame(rows, "name string, panel string, unit string, lower double, upper double")).collect()}
     assert out == {("p", "K"): None, ("K", "K lowered"): "value LT 3.5000 mmol/L", ("K", "K normal"): "value BETWEEN 3.5000 5.1000 mmol/L", ("K", "K raised"): "value GT 5.1000 mmol/L", ("p", "Na"): None, ("Na", "Na raised"): "value GT 145.0000 mmol/L", ("p", "X"): None}
+
+
+def test_places_and_anchors(spark):
+    from quillon.operators.evidence import anchor, anchors, indexed_places, longest_spans
+
+    places = spark.createDataFrame([("t", "a", 0), ("t", "a", 4), ("t", "a", 9), ("t", "b", 7), ("t", "b", 7)], "id string, word string, start int")
+    claims = [("1", "t", "a", 4, 0), ("2", "t", "a", 5, 2), ("3", "t", "b", 1, 5), ("4", "t", "a", None, None), ("5", "t", "z", 1, 0)]
+    out = indexed_places(spark.createDataFrame(claims, "claim_id string, id string, word string, claimed int, nth int"), places)
+    assert {r.claim_id: r.start for r in out.collect()} == {"1": 4, "2": 9, "3": 7, "4": None, "5": None}
+
+    def brute(text, s, e, most):
+        spans = [(max(0, s - k), min(len(text), e + k)) for k in range(most, -1, -1)]
+        return next(((a, b) for a, b in spans if sum(text.startswith(text[a:b], i) for i in range(len(text))) == 1), None)
+
+    texts = ["abcabcab", "aaaa", "xy xz xy", "", "ab" * 40 + "c" + "ab" * 40]
+    for t in texts:
+        for s in range(len(t)):
+            for most in (0, 1, 3, 32):
+                assert anchor(t, s, min(s + 2, len(t)), most) == brute(t, s, min(s + 2, len(t)), most)
+    m = spark.createDataFrame([("1", 0, 2), ("1", 0, 2), ("2", 1, 2), ("3", 0, 1)], "id string, start int, end int")
+    df = spark.createDataFrame([("1", "xy xz xy"), ("2", "aaaa"), ("3", None)], "id string, text string")
+    assert sorted((r.id, r.start, r.a_start, r.a_end) for r in anchors(m, df, 1).collect()) == [("1", 0, 0, 3), ("2", 1, None, None)]
+    s = spark.createDataFrame([("t", "ab", 5), ("t", "cd", 3), ("t", "x", 0)], "id string, word string, start int")
+    assert [(r.word, r.start) for r in longest_spans(s).collect()] == [("cd", 3)]
+
+
+def test_layers(spark):
+    from quillon.operators.matching import layered_scores
+
+    schema = "s_type string, s_name string, predicate string, o_type string, o_name string"
+    p = spark.createDataFrame([("T", "a b", "P", "U", "c")], schema)
+    g = spark.createDataFrame([("T", "ab", "P", "U", "c"), ("T", "ab", "Q", "U", "c")], schema)
+    out = {r.layer: (r.tp, r.fp, r.fn) for r in layered_scores(p, g).collect()}
+    assert out == {"mention": (1, 1, 1), "canonical": (2, 0, 0), "link": (1, 1, 1), "relation": (1, 0, 1)}
+    assert layered_scores(p.limit(0), g.limit(0)).count() == 0
