@@ -129,7 +129,7 @@ def _bounded(piece: Column, start: int) -> Column:
 def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     """One row per line of each distinct page: its kind (the fences before a line tell whether it lies in a block), its place among the lines with text from the top and from the
     bottom (4 for all beyond the third), the last word of the line before and the first word of the line after. Lines at
-    the edges (top or bottom up to 3) also have the place of their page in the book. ``every_line=False`` leaves out what
+    the edges (top or bottom up to 3) also have the place of their page in the book; ``latin`` marks Latin words. ``every_line=False`` leaves out what
     the search for noise never looks at: blank lines, and lines off the edges that are no running text."""
     kept = pages.select("page_id", "raw_text", *PLACE).filter("raw_text is not null and page_id is not null")
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
@@ -163,7 +163,7 @@ def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
         rows = rows.filter("kind <> 'blank' and (kind in ('prose', 'list') or top <= 3 or bottom <= 3)")
     before = tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0))))
     at_edge = (F.col("top") <= 3) | (F.col("bottom") <= 3)
-    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind", *[F.when(at_edge, F.col(c)).alias(c) for c in PLACE])
+    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind", F.col("text").rlike("[a-z0-9]{2}").alias("latin"), *[F.when(at_edge, F.col(c)).alias(c) for c in PLACE])
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     opening = stored(opening, "opening")
     keyed = _place(keyed, opening, ["document_id", "chapter_id"], ["_od", "_oc"]).drop("_od", "_oc")
     is_title = F.coalesce((F.col("chapter_page_index") == 1) & (F.col("top") <= 2) & (F.col("key") == F.col("opening")), F.lit(False))
-    keyed = stored(keyed.withColumn("is_title", is_title), "titled")
+    keyed = keyed.withColumn("is_title", is_title)  # a join with a row per chapter: cheaper made again than written
     # repeated through the book or the chapter
     votes = keyed.filter((F.col("kind") != "heading") | F.col("is_title"))
     per_chapter = facts.groupBy("document_id", "chapter_id").agg(F.count(F.lit(1)).alias("n_chapter"))
@@ -273,7 +273,7 @@ def _hyphen_end(text: Column) -> Column:
 
 
 def _latin(lines: DataFrame, kinds: list[str]) -> DataFrame:
-    return lines.filter(F.col("kind").isin(kinds)).filter(F.col("text").rlike("[a-z0-9]{2}"))
+    return lines.filter(F.col("kind").isin(kinds)).filter("latin")
 
 
 def raw_counts(lines: DataFrame) -> DataFrame:
@@ -457,7 +457,7 @@ def _analysed(pages: DataFrame, every_line: bool) -> tuple[DataFrame, DataFrame,
     """Lines, edge noise, sure misreadings, misreadings by context, broken words - of all pages."""
     lines = stored(page_lines(pages, every_line), "lines")
     facts = stored(page_facts(pages), "facts")
-    edge_lines = lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind", *PLACE)
+    edge_lines = stored(lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind", *PLACE), "edge_lines")
     edge = stored(edge_noise(edge_lines, facts), "edge")
     raw = stored(raw_forms(raw_counts(lines)), "raw")
     counts = stored(word_counts(raw), "counts")
