@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quillon.operators.matching import case_scores, layered_scores, project_relations, project_rules, rule_matches, tier_scores
-from quillon.operators.reasoning import chained, condition_facts, endpoint_mismatches, reasoning_paths, reportable, rule_issues
+from quillon.operators.reasoning import endpoint_mismatches, name_numbers, named_facts, named_paths, named_rules, report_profiles, reportable, rule_issues
 from quillon.plans.graph import _edges
 from quillon.plans.retrieval import ND, live_nodes
 from quillon.plans.rules import RULE_SCHEMA, RULES
+from quillon.session import checkpointed
 from quillon.sources.tables import table
 
 SUBJECT, CONCLUSION, CONTEXT = ("USES", "HAS_METRIC", "HAS_STATE", "OBSERVED_IN", "PART_OF"), ("PRODUCES", "SUGGESTS", "EXCLUDES"), ("OBSERVED_IN", "PART_OF")
@@ -18,45 +19,44 @@ TIERS = {"state": ("HAS_STATE", "HAS_METRIC", "PART_OF", "OBSERVED_IN", "USES"),
 def _rule_edges(spark: SparkSession, d: str) -> DataFrame:
     """``rule_id, predicate, node_id, node_type, name`` of the edges that leave rules for live nodes."""
     n = live_nodes(spark, d)
-    e = _edges(spark, d).select("subject_id", "predicate", "object_id").distinct()
+    e = table(spark, d, "edges").select("subject_id", "predicate", "object_id").distinct()
     e = e.join(n.filter("node_type = 'RuleDefinition'").select(F.col("node_id").alias("subject_id")), "subject_id")
     return e.join(n.select(F.col("node_id").alias("object_id"), "node_type", "name"), "object_id").select(F.col("subject_id").alias("rule_id"), "predicate", F.col("object_id").alias("node_id"), "node_type", "name")
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    e = _rule_edges(spark, d).filter(F.col("predicate").isin(*SUBJECT) & (F.col("node_type") == "LabIndicator"))
+    return _subjects_of(_rule_edges(spark, d))
+
+
+def _subjects_of(e: DataFrame) -> DataFrame:
+    e = e.filter(F.col("predicate").isin(*SUBJECT) & (F.col("node_type") == "LabIndicator"))
     return e.groupBy("rule_id", "node_id", "name").agg(F.max(F.col("predicate") == "USES").alias("required"), F.max(F.col("predicate") == "HAS_STATE").alias("is_state"))
 
 
-def _links(spark: SparkSession, d: str) -> DataFrame:
-    """``report_id, node_id, metric_id, value, flag``: the metrics of a report at the indicators of their name."""
-    o = table(spark, d, "observation").select("obs_id", "report_id", "standard_name", "abbreviation", "value", "report_flag").distinct().filter("standard_name is not null")
-    m = o.groupBy("report_id", "standard_name", F.concat_ws("/", "standard_name", "abbreviation").alias("metric_id")).agg(F.min("value").alias("value"), F.max("report_flag").alias("flag"))
-    n = live_nodes(spark, d).filter("node_type = 'LabIndicator'").select("node_id", "name")
-    return m.join(n, m["standard_name"] == n["name"]).select("report_id", "node_id", "metric_id", "value", "flag")
+def _profiles(spark: SparkSession, d: str, names: DataFrame, told: Column) -> DataFrame:
+    o = table(spark, d, "observation").select("report_id", F.col("standard_name").alias("name"), F.concat_ws("/", "standard_name", "abbreviation").alias("metric_id"), "value", F.col("report_flag").alias("flag"), "sample_type")
+    return report_profiles(o, names, told, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def rul09_facts(spark: SparkSession, d: str) -> DataFrame:
     """What the reports that speak to a rule know about each of its inputs."""
-    links, subjects = _links(spark, d), _subjects(spark, d)
-    heard = links.select("report_id", "node_id").join(subjects.select("rule_id", "node_id"), "node_id").select("report_id", "rule_id").distinct()
-    asked = heard.join(subjects.select("rule_id", F.col("name").alias("input"), "node_id", "is_state"), "rule_id").select("report_id", "rule_id", "input", "node_id", "is_state")
-    serum = table(spark, d, "observation").filter("sample_type = 'serum' and standard_name = 'Sodium'").select("report_id", F.lit("Sodium").alias("input"), F.lit("serum").alias("value")).distinct()
-    return condition_facts(asked, links, serum)
-
-
-def _paths(spark: SparkSession, d: str) -> DataFrame:
-    """The paths with ``outcome`` and ``result`` of the cases: a rule with a product has the cases abnormal and not."""
-    e, links, subjects = _rule_edges(spark, d), _links(spark, d), _subjects(spark, d)
-    flags = links.join(subjects.select("rule_id", "node_id"), "node_id").join(e.filter("predicate = 'PRODUCES'").select("rule_id").distinct(), "rule_id", "left_semi")
-    outcomes = flags.groupBy("report_id", "rule_id").agg(F.max(F.col("flag").isin("high", "low")).alias("odd")).select("report_id", "rule_id", F.when(F.col("odd"), "case_match").otherwise("no_case_match").alias("outcome"), F.when(F.col("odd"), "abnormal").alias("result"))
-    contexts = e.filter(F.col("predicate").isin(*CONTEXT) & (F.col("node_type") == "Disease")).select("rule_id", F.col("node_id").alias("context")).distinct()
-    places = e.filter("node_type = 'ClinicalContext'").select("rule_id").distinct()
-    serum = table(spark, d, "observation").filter("sample_type = 'serum'").select("report_id").distinct()
-    roles = links.select("report_id", "node_id").join(subjects.select("rule_id", "node_id"), "node_id").select("report_id", "rule_id").distinct().join(places, "rule_id", "left_semi").join(serum, "report_id", "left_semi").withColumn("role", F.lit("serum"))
-    rules = contexts.groupBy("rule_id").agg(F.count(F.lit(1)).alias("preconditions"))
-    p = reasoning_paths(links, subjects, e.filter(F.col("predicate").isin(*CONCLUSION)).select("rule_id", "node_id"), rules, roles, outcomes, "final")
-    return p.join(outcomes, ["report_id", "rule_id"], "left")
+    subjects = checkpointed(_subjects(spark, d))
+    names = name_numbers(subjects)
+    return named_facts(_profiles(spark, d, names, (F.col("sample_type") == "serum") & (F.col("name") == "Sodium")), subjects, names, "Sodium", "serum")
+
+
+def _paths(spark: SparkSession, d: str, chain: bool = False, odd_only: bool = False) -> DataFrame:
+    """The paths; a rule with a product has the cases abnormal and not. With ``chain`` after one hop of preconditions."""
+    e = checkpointed(_rule_edges(spark, d))
+    subjects = _subjects_of(e)
+    names = checkpointed(name_numbers(subjects))
+    rules = checkpointed(named_rules(subjects, e, names, CONCLUSION, CONTEXT))
+    needs = None
+    if chain:
+        contexts = e.filter(F.col("predicate").isin(*CONTEXT) & (F.col("node_type") == "Disease")).select(F.col("rule_id").alias("consumer"), F.col("node_id").alias("context")).distinct()
+        made = e.filter("predicate in ('PRODUCES', 'SUGGESTS')").select(F.col("rule_id").alias("producer"), F.col("node_id").alias("context")).distinct()
+        needs = checkpointed(made.join(contexts, "context").filter("producer <> consumer").select("producer", "consumer", "context"))
+    return named_paths(_profiles(spark, d, names, F.col("sample_type") == "serum"), rules, "final", "serum", needs, odd_only)
 
 
 def rul11_paths(spark: SparkSession, d: str) -> DataFrame:
@@ -73,22 +73,14 @@ def rul11_rejections(spark: SparkSession, d: str) -> DataFrame:
     return endpoint_mismatches(s.select("rule_id", "node_id"), terms)
 
 
-def _chained(spark: SparkSession, d: str) -> DataFrame:
-    e = _rule_edges(spark, d)
-    contexts = e.filter(F.col("predicate").isin(*CONTEXT) & (F.col("node_type") == "Disease")).select("rule_id", F.col("node_id").alias("context")).distinct()
-    made = e.filter("predicate in ('PRODUCES', 'SUGGESTS')").select(F.col("rule_id").alias("producer"), F.col("node_id").alias("context")).distinct()
-    needs = made.join(contexts.select(F.col("rule_id").alias("consumer"), "context"), "context").filter("producer <> consumer").withColumn("result", F.lit("abnormal"))
-    return chained(_paths(spark, d).select("report_id", "rule_id", "status", "outcome", "result"), needs, contexts, "final")
-
-
 def rul12_chained(spark: SparkSession, d: str) -> DataFrame:
     """Paths after one hop of preconditions."""
-    return _chained(spark, d).select("report_id", "rule_id", "status", "verified")
+    return _paths(spark, d, chain=True).select("report_id", "rule_id", "status", "verified")
 
 
 def flt13_reportable(spark: SparkSession, d: str) -> DataFrame:
-    """Paths that lead to a conclusion."""
-    return reportable(_chained(spark, d)).select("report_id", "rule_id", "status")
+    """Paths that lead to a conclusion; in a final graph only those whose case matches do."""
+    return reportable(_paths(spark, d, chain=True, odd_only=True)).select("report_id", "rule_id", "status")
 
 
 def rul03_issues(spark: SparkSession, d: str) -> DataFrame:

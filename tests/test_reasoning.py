@@ -100,3 +100,65 @@ def test_scores(spark):
     rules = lambda x: spark.createDataFrame(x, "rule string, inputs array<string>, outputs array<string>")
     r = rule_matches(rules([("u", ["a"], ["z"]), ("v", ["a", "b"], ["z"])]), rules([("u", ["a", "b"], ["z"]), ("v", ["a"], ["y"]), ("w", [], [])])).collect()
     assert sorted((x.rule, x.outputs_equal, x.inputs_within, x.inputs_equal) for x in r) == [("u", True, True, False), ("v", False, False, False)]
+
+
+@pytest.mark.parametrize("sent", [500_000, 0])
+def test_named_rules_against_pairs(spark, monkeypatch, sent):
+    """The queries by name give what the operators over pairs give, and shuffle no pairs."""
+    import random
+
+    from quillon.operators import reasoning as R
+
+    monkeypatch.setattr(R, "MOST_SENT", sent)
+    rng = random.Random(7)
+    names = ["a", "a/b", "c", "c d", "e"]
+    obs = [(r, rng.choice([*names, "z", None]), rng.choice(["b", "x", None]), str(rng.randrange(3)), rng.choice(["high", "low", "normal", "odd", None]), rng.choice(["serum", "plasma", None])) for r in [*map(str, range(30))] for _ in range(rng.randrange(1, 7))]
+    obs += [("twin", "a", "b", "1", "high", "plasma"), ("twin", "a/b", None, "2", None, None)]
+    o = spark.createDataFrame([*obs, *obs], "report_id string, name string, abbreviation string, value string, flag string, sample_type string").withColumn("metric_id", F.concat_ws("/", "name", "abbreviation"))
+    nodes = [(f"n{i}", rng.choice([*names, None])) for i in range(12)]
+    subjects = [(f"u{i:02}", n, name, rng.random() < 0.4, rng.random() < 0.5) for i in range(25) for n, name in rng.sample(nodes, rng.randrange(1, 4))] + [("twins", "p", "a", False, False), ("twins", "q", "a/b", False, False)]
+    s = spark.createDataFrame(subjects, "rule_id string, node_id string, name string, required boolean, is_state boolean")
+    kinds = [("PRODUCES", "Disease"), ("SUGGESTS", "Disease"), ("EXCLUDES", "Disease"), ("PART_OF", "Disease"), ("OBSERVED_IN", "Disease"), ("USES", "ClinicalContext"), ("USES", None)]
+    edges = [(f"u{i:02}", p, f"d{rng.randrange(5)}", t) for i in range(25) for p, t in rng.sample(kinds, rng.randrange(1, 5))] + [("twins", "EXCLUDES", "d", "Disease")]
+    e = spark.createDataFrame(edges, "rule_id string, predicate string, node_id string, node_type string")
+    # the tables of pairs
+    m = o.filter("name is not null").groupBy("report_id", "name", "metric_id").agg(F.min("value").alias("value"), F.max("flag").alias("flag"))
+    links = m.join(s.select("node_id", "name").distinct(), "name").select("report_id", "node_id", "metric_id", "value", "flag")
+    heard = links.join(s, "node_id").select("report_id", "rule_id").distinct()
+    serum = o.filter("sample_type = 'serum'").select("report_id").distinct()
+    told = o.filter("sample_type = 'serum' and name = 'c'").select("report_id", F.lit("c").alias("input"), F.lit("serum").alias("value")).distinct()
+    asked = heard.join(s.select("rule_id", F.col("name").alias("input"), "node_id", "is_state"), "rule_id")
+    numbers = R.name_numbers(s)
+    rows = lambda df: sorted(map(str, df.collect()))
+    facts = R.named_facts(R.report_profiles(o, numbers, (F.col("sample_type") == "serum") & (F.col("name") == "c"), 3), s, numbers, "c", "serum")
+    assert rows(facts) == rows(R.condition_facts(asked, links, told)) and facts.count() > 100
+    flags = links.join(s.select("rule_id", "node_id"), "node_id").join(e.filter("predicate = 'PRODUCES'").select("rule_id").distinct(), "rule_id")
+    outcomes = flags.groupBy("report_id", "rule_id").agg(F.max(F.coalesce(F.col("flag").isin("high", "low"), F.lit(False))).alias("odd")).select("report_id", "rule_id", F.when(F.col("odd"), "case_match").otherwise("no_case_match").alias("outcome"), F.when(F.col("odd"), "abnormal").alias("result"))
+    is_context = F.col("predicate").isin("PART_OF", "OBSERVED_IN") & (F.col("node_type") == "Disease")
+    contexts = e.filter(is_context).select("rule_id", F.col("node_id").alias("context")).distinct()
+    roles = heard.join(e.filter("node_type = 'ClinicalContext'").select("rule_id").distinct(), "rule_id").join(serum, "report_id").withColumn("role", F.lit("serum"))
+    concluded = e.filter("predicate in ('PRODUCES', 'SUGGESTS', 'EXCLUDES')").select("rule_id", "node_id")
+    want = reasoning_paths(links, s, concluded, contexts.groupBy("rule_id").agg(F.count(F.lit(1)).alias("preconditions")), roles, outcomes, "final")
+    rules = R.named_rules(s, e, numbers, ("PRODUCES", "SUGGESTS", "EXCLUDES"), ("PART_OF", "OBSERVED_IN"))
+    profiles = R.report_profiles(o, numbers, F.col("sample_type") == "serum", 3)
+    got = R.named_paths(profiles, rules, "final", "serum")
+    assert rows(got.select(*want.columns)) == rows(want) and got.count() > 50 and not any(r.rule_id == "twins" and r.report_id == "twin" for r in got.collect())
+    made = e.filter("predicate in ('PRODUCES', 'SUGGESTS')").select(F.col("rule_id").alias("producer"), F.col("node_id").alias("context")).distinct()
+    needs = made.join(contexts.withColumnRenamed("rule_id", "consumer"), "context").filter("producer <> consumer").select("producer", "consumer", "context")
+    want = chained(want.join(outcomes, ["report_id", "rule_id"], "left"), needs.withColumn("result", F.lit("abnormal")), contexts, "final").select("report_id", "rule_id", "status", "verified")
+    got = R.named_paths(profiles, rules, "final", "serum", needs)
+    assert rows(got.select(*want.columns)) == rows(want) and {True, False, None} == {r.verified for r in got.collect()}
+    odd = R.named_paths(profiles, rules, "final", "serum", needs, odd_only=True)
+    assert rows(reportable(odd).select("report_id", "rule_id", "status")) == rows(reportable(want).select("report_id", "rule_id", "status"))
+
+
+@pytest.mark.parametrize("query", ["rul09_facts", "rul11_paths", "rul12_chained", "flt13_reportable"])
+def test_no_pairs_are_shuffled(spark, query):
+    """No exchange of these queries has the rows of both reports and rules: the rules are sent, the reports placed once."""
+    from quillon.plans.reasoning import QUERIES
+
+    df = QUERIES[query](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    placed = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "report_id" in x]
+    assert placed and all("REPARTITION_BY_NUM" in x for x in placed)
