@@ -16,8 +16,8 @@
 * A label is trusted unless its document has passages with a subject and none of them, before clamping, is of the labelled
   one. Trusted labels are part of the result, beside further subjects that are found.
 
-Semantics: a passage deals with its leading subject if sentences that speak for it make up at least 15 % of its length and
-half of what speaks at all; a document has every subject whose passages make up at least ``SHARE`` of its length and every
+Semantics: a passage deals with the subject that holds at least half of its mass after propagation, if sentences that speak
+for it make up at least 15 % of its length; so the neighbours decide where a passage speaks for several. A document has every subject whose passages make up at least ``SHARE`` of its length and every
 trusted label, so none, one or several. Empty and null texts have no subject unless labelled. Labels of unknown documents,
 of unknown codes and null labels are ignored, repeated ones count once. Without usable labels of two subjects nothing is
 found but the labels, as no term tells subjects apart. Sentences
@@ -153,8 +153,9 @@ def subject_shares(documents: DataFrame, labels: DataFrame, codes: list[str]) ->
     own = stored(by_subject.filter("k is not null").withColumn("y", F.col("own") / F.col("told")), "own")
     told = rows.filter("k is not null")
     held = propagate(stored(verified_edges(told), "edges"), own.select("doc_id", "passage", "k", "y"), seeds)
-    lead = held.groupBy("doc_id", "passage").agg(F.max(F.struct("y", -F.col("k"), "k")).alias("m")).select("doc_id", "passage", F.col("m.k").alias("k"))
-    fits = own.filter((F.col("own") >= 0.5 * F.col("told")) & (F.col("own") >= 0.15 * F.col("size"))).select("doc_id", "passage", "k", "size")
+    lead = held.groupBy("doc_id", "passage").agg(F.max(F.struct("y", -F.col("k"), "k")).alias("m"), F.sum("y").alias("all"))
+    lead = lead.filter(F.col("m.y") >= 0.5 * F.col("all")).select("doc_id", "passage", F.col("m.k").alias("k"))
+    fits = own.filter(F.col("own") >= 0.15 * F.col("size")).select("doc_id", "passage", "k", "size")
     parts = stored(fits.join(lead, ["doc_id", "passage", "k"], "left_semi").groupBy("doc_id", "k").agg(F.sum("size").alias("part")), "parts")
     total = rows.groupBy("doc_id").agg(F.sum("size").alias("total"))
     found = parts.groupBy("doc_id").agg(F.lit(True).alias("found"))

@@ -58,3 +58,21 @@ def test_edges_against_brute_force(spark):
     ids = {r.rep: (r.d, r.p) for r in spark.createDataFrame(sorted(set(rep.values())), "d bigint, p int").select("d", "p", F.xxhash64("d", "p").alias("rep")).collect()}
     got = {(r.doc_id, r.passage, ids[r.rep]): r.w for r in verified_edges(df).collect()}
     assert got == {k: v for k, v in want.items() if v >= OVERLAP}
+
+
+def test_propagation_decides_what_follows(spark, monkeypatch):
+    """What the propagation gives is the subject, also against what most of the passage says; before, such a passage had none."""
+    from quillon.llm import subjects as S
+
+    docs = [(i, _text("AB"[i % 2], i)) for i in range(40)] + [(50, _text("A", 1, 3) + " " + _text("B", 1, 2))]
+    d, labels = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(i, "AB"[i % 2]) for i in range(20)], "doc_id bigint, subject_code string")
+    found = lambda: {r.subject_code for r in S.subject_shares(d, labels, ["A", "B"]).filter("doc_id = 50").collect()}
+    real = S.propagate
+
+    def favoured(k):
+        y = F.when(F.col("doc_id") == 50, F.when(F.col("k") == k, 0.6).otherwise(0.4)).otherwise(F.col("y"))
+        return lambda edges, own, seeds: real(edges, own, seeds).withColumn("y", y)
+
+    for k, code in enumerate("AB"):
+        monkeypatch.setattr(S, "propagate", favoured(k))
+        assert found() == {code}
