@@ -162,3 +162,28 @@ def test_no_pairs_are_shuffled(spark, query):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     placed = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "report_id" in x]
     assert placed and all("REPARTITION_BY_NUM" in x for x in placed)
+
+
+@pytest.mark.parametrize("query", ["flt13_reportable"])
+def test_pairs_stay_off_the_disk(spark, tmp_path, query):
+    """500 reports that all meet 200 rules: 100,000 rows, of which none is shuffled or spilled."""
+    from quillon.plans.reasoning import QUERIES
+
+    nodes = [*((f"u{i}", "RuleDefinition", f"u{i}") for i in range(200)), ("m", "LabIndicator", "Urea"), ("d", "Disease", "d")]
+    edges = [(f"u{i}", p, n) for i in range(200) for p, n in (("USES", "m"), ("PRODUCES", "d"))]
+    obs = [(f"r{i}", "Urea", a, "1", "high", "serum") for i in range(500) for a in ("U", "V")]
+    spark.createDataFrame(nodes, "node_id string, node_type string, name string").selectExpr("*", "timestamp'2024-01-01' created_at", "cast(null as timestamp) deleted_at").write.parquet(f"{tmp_path}/nodes.parquet")
+    spark.createDataFrame(edges, "subject_id string, predicate string, object_id string").selectExpr("*", *(f"'' {c}" for c in ("triple_id", "layer", "status", "properties_json", "evidence_json", "origins_json")), "timestamp'2024-01-01' created_at").write.parquet(f"{tmp_path}/edges.parquet")
+    spark.createDataFrame(obs, "report_id string, standard_name string, abbreviation string, value string, report_flag string, sample_type string").selectExpr("monotonically_increasing_id() obs_id", "*").write.parquet(f"{tmp_path}/observation.parquet")
+    sc = spark.sparkContext
+
+    def stages() -> dict[int, tuple[int, int]]:
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        rows = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return {rows.apply(i).stageId(): (rows.apply(i).shuffleWriteRecords(), rows.apply(i).diskBytesSpilled()) for i in range(rows.size())}
+
+    before = stages()
+    QUERIES[query](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    new = [x for k, x in stages().items() if k not in before]
+    assert spark.read.parquet(f"{tmp_path}/out").distinct().count() == 100_000
+    assert 0 < sum(records for records, _ in new) < 20_000 and not any(spilled for _, spilled in new)
