@@ -164,7 +164,7 @@ def test_no_pairs_are_shuffled(spark, query):
     assert placed and all("REPARTITION_BY_NUM" in x for x in placed)
 
 
-@pytest.mark.parametrize("query", ["rul09_facts", "flt13_reportable"])
+@pytest.mark.parametrize("query", ["rul09_facts", "flt13_reportable", "rul11_paths"])
 def test_pairs_stay_off_the_disk(spark, tmp_path, query):
     """500 reports that all meet 200 rules: 100,000 rows, of which none is shuffled or spilled."""
     from quillon.plans.reasoning import QUERIES
