@@ -165,18 +165,35 @@ def named_facts(profiles: DataFrame, subjects: DataFrame, names: DataFrame, told
     """
     inputs = subjects.groupBy("rule_id", "name").agg(F.max("is_state").alias("is_state"))
     inputs = inputs.join(names, inputs["name"].eqNullSafe(names["name"])).select("rule_id", "id", inputs["name"].alias("name"), "is_state")
-    rules = inputs.groupBy("rule_id").agg(F.sort_array(F.collect_set(F.struct("id", "name", "is_state"))).alias("inputs"))
-    rules = checkpointed(rules.withColumn("names", F.col("inputs.id")))
-    shapes, members = rule_shapes(rules, ["names", "inputs"], ["rule_id"])
-    rows = _met(profiles, shapes).select("report_id", "told", "facts", "shape", F.explode("inputs").alias("i"))
+    rules = checkpointed(inputs.groupBy("rule_id").agg(F.sort_array(F.collect_set(F.struct("id", "name", "is_state"))).alias("inputs")))
+    asked = _inputs_by_name(rules)
+    if rules.select(F.explode("inputs")).limit(MOST_SENT + 1).count() <= MOST_SENT:
+        asked = F.broadcast(asked)
+    rows = profiles.select("report_id", "told", "ids", F.explode("facts").alias("id", "fact")).join(asked, "id")
+    met = F.when(F.size("earlier") == 0, False).when(F.size("earlier") == 1, F.array_contains("ids", F.col("earlier")[0])).otherwise(F.arrays_overlap("earlier", "ids"))
+    rows = rows.filter(~met).withColumn("i", F.explode("inputs")).filter(F.col("own") | ~F.array_contains("ids", F.col("i.id")))
     known = F.col("report_id").isNotNull()
-    rows = rows.select("report_id", "shape", F.col("i.name").alias("input"), F.col("i.is_state").alias("is_state"), F.coalesce(known & F.col("told") & (F.col("i.name") == told_name), F.lit(False)).alias("in_context"), F.when(known, F.col("facts")[F.col("i.id")]).alias("f"))
-    n = F.when(F.col("f").isNull(), 0).otherwise(F.size("f.metrics"))
-    state = F.coalesce(*[F.when(F.col("f.flag") == k, F.lit(v)) for k, v in STATES.items()])
-    value = F.when(F.col("in_context"), told_value).when(n == 1, F.when(F.col("is_state"), state).otherwise(F.col("f.value")))
-    status = F.when(F.col("in_context"), "ok").when(n == 0, "missing").when(n > 1, "ambiguous").when(F.col("is_state") & state.isNull(), "missing").otherwise("ok")
-    rows = rows.select("report_id", "shape", "input", status.alias("status"), value.alias("value"))
-    return rows.join(broadcast_if_small(members, MOST_SENT), "shape").select("report_id", "rule_id", "input", "status", "value")
+    in_context = F.coalesce(known & F.col("told") & (F.col("i.name") == told_name), F.lit(False))
+    n = F.when(known & F.col("own"), F.size("fact.metrics")).otherwise(0)
+    state = F.coalesce(*[F.when(F.col("fact.flag") == k, F.lit(v)) for k, v in STATES.items()])
+    value = F.when(in_context, told_value).when(n == 1, F.when(F.col("is_state"), state).otherwise(F.col("fact.value")))
+    status = F.when(in_context, "ok").when(n == 0, "missing").when(n > 1, "ambiguous").when(F.col("is_state") & state.isNull(), "missing").otherwise("ok")
+    rows = rows.select("report_id", "rules", F.col("i.name").alias("input"), status.alias("status"), value.alias("value"))
+    return rows.select("report_id", F.explode("rules").alias("rule_id"), "input", "status", "value")
+
+
+def _inputs_by_name(rules: DataFrame) -> DataFrame:
+    """``id, own, is_state, earlier, inputs, rules``: what a report with the name ``id`` is asked, by ``rules`` with ``rule_id, inputs``.
+
+    ``own`` rows ask for the name itself, a row for all rules that do so alike. The others ask for ``inputs`` that the report
+    lacks, a row for all rules of the same names, at the first of their names that it has: where it has none of ``earlier``.
+    """
+    none, pair = F.array().cast("array<int>"), lambda i: F.struct(i["id"].alias("id"), i["name"].alias("name"))
+    own = rules.select("rule_id", F.explode("inputs").alias("i")).groupBy("i").agg(F.sort_array(F.collect_list("rule_id")).alias("rules"))
+    own = own.select("i.id", F.lit(True).alias("own"), "i.is_state", none.alias("earlier"), F.array(pair(F.col("i"))).alias("inputs"), "rules")
+    sets = rules.filter(F.size("inputs") > 1).groupBy(F.transform("inputs", pair).alias("inputs")).agg(F.sort_array(F.collect_list("rule_id")).alias("rules"))
+    sets = sets.select("*", F.posexplode("inputs.id").alias("at", "id"))
+    return own.union(sets.select("id", F.lit(False), F.lit(None).cast("boolean"), F.slice("inputs.id", F.lit(1), F.col("at")), "inputs", "rules"))
 
 
 def named_rules(subjects: DataFrame, edges: DataFrame, names: DataFrame, conclusion: tuple, context: tuple) -> DataFrame:

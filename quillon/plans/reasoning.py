@@ -33,16 +33,17 @@ def _subjects_of(e: DataFrame) -> DataFrame:
     return e.groupBy("rule_id", "node_id", "name").agg(F.max(F.col("predicate") == "USES").alias("required"), F.max(F.col("predicate") == "HAS_STATE").alias("is_state"))
 
 
-def _profiles(spark: SparkSession, d: str, names: DataFrame, told: Column) -> DataFrame:
+def _profiles(spark: SparkSession, d: str, names: DataFrame, told: Column, finer: int = 1) -> DataFrame:
+    """The reports, in ``finer`` times the partitions of a shuffle where what is made of them takes much longer than they."""
     o = table(spark, d, "observation").select("report_id", F.col("standard_name").alias("name"), F.concat_ws("/", "standard_name", "abbreviation").alias("metric_id"), "value", F.col("report_flag").alias("flag"), "sample_type")
-    return report_profiles(o, names, told, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return report_profiles(o, names, told, finer * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def rul09_facts(spark: SparkSession, d: str) -> DataFrame:
     """What the reports that speak to a rule know about each of its inputs."""
     subjects = checkpointed(_subjects(spark, d))
     names = name_numbers(subjects)
-    return named_facts(_profiles(spark, d, names, (F.col("sample_type") == "serum") & (F.col("name") == "Sodium")), subjects, names, "Sodium", "serum")
+    return named_facts(_profiles(spark, d, names, (F.col("sample_type") == "serum") & (F.col("name") == "Sodium"), 4), subjects, names, "Sodium", "serum")
 
 
 def _paths(spark: SparkSession, d: str, chain: bool = False, odd_only: bool = False) -> DataFrame:

@@ -187,3 +187,26 @@ def test_pairs_stay_off_the_disk(spark, tmp_path, query):
     new = [x for k, x in stages().items() if k not in before]
     assert spark.read.parquet(f"{tmp_path}/out").distinct().count() == 100_000
     assert 0 < sum(records for records, _ in new) < 20_000 and not any(spilled for _, spilled in new)
+
+
+def test_joins_of_facts_have_no_row_per_rule(spark):
+    """100 reports, one of them without a key, and 100 rules with one or two names: pairs are made by the last operator only."""
+    from quillon.operators import reasoning as R
+
+    obs = [(f"r{i}" if i else None, name, "m", "1", "high") for i in range(100) for name in ("a", "b")[: 1 + i % 2]]
+    o = spark.createDataFrame(obs, "report_id string, name string, metric_id string, value string, flag string")
+    s = spark.createDataFrame([(f"u{i}", n, n, n == "b") for i in range(100) for n in ("a", "b")[: 1 + i // 50]], "rule_id string, node_id string, name string, is_state boolean")
+    numbers = R.name_numbers(s)
+    facts = R.named_facts(R.report_profiles(o, numbers, F.col("name") == "b", 3), s, numbers, "b", "told")
+    got = sorted(map(str, facts.collect()))
+
+    def joined(p) -> int:
+        kind = p.getClass().getSimpleName()
+        kids = [p.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [p.plan()] if kind.endswith("QueryStageExec") else [p.children().apply(i) for i in range(p.children().size())]
+        return (p.metrics().apply("numOutputRows").value() if "Join" in kind else 0) + sum(map(joined, kids))
+
+    links = o.join(s.select("node_id", "name").distinct(), "name").select("report_id", "node_id", "metric_id", "value", "flag")
+    asked = links.join(s, "node_id").select("report_id", "rule_id").distinct().join(s.select("rule_id", F.col("name").alias("input"), "node_id", "is_state"), "rule_id")
+    told = o.filter("name = 'b'").select("report_id", F.lit("b").alias("input"), F.lit("told").alias("value")).distinct()
+    assert got == sorted(map(str, R.condition_facts(asked, links, told).collect())) and len(got) == 15_000
+    assert 0 < joined(facts._jdf.queryExecution().executedPlan()) < 2_000
