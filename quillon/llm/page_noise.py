@@ -101,11 +101,12 @@ def _roman_shape(n: Column) -> Column:
 
 def _hanzi_of(n: Column) -> Column:
     """The Chinese numeral of a number: every digit gets its sign, then the noughts are joined or dropped."""
-    width = 12
-    padded = F.lpad(n.cast("string"), width, "0")
-    signs = ("千百十亿", "千百十万", "千百十")
-    sign = [(signs[i // 4] + " ")[i % 4].strip() for i in range(width)]
-    out = F.concat(*[F.when(F.substring(padded, i + 1, 1) == "0", F.lit("零" + (sign[i] if sign[i] in ("亿", "万") else ""))).otherwise(F.concat(F.translate(F.substring(padded, i + 1, 1), "0123456789", _CIPHERS), F.lit(sign[i]))) for i in range(width)])
+    units = ("千百十亿", "千百十万", "千百十")
+    places = [(units[i // 4] + " ")[i % 4].strip() for i in range(12)]
+    signs, noughts = F.array(*[F.lit(x) for x in places]), F.array(*[F.lit("零" + (x if x in ("亿", "万") else "")) for x in places])
+    # digits in a lambda: twelve branches in line make one method that is too large for the JVM to compile
+    digits = F.transform(F.split(F.lpad(n.cast("string"), 12, "0"), ""), lambda d, i: F.when(d == "0", F.element_at(noughts, i + 1)).otherwise(F.concat(F.translate(d, "0123456789", _CIPHERS), F.element_at(signs, i + 1))))
+    out = F.array_join(digits, "")
     for pattern, by in (("^[亿万零]+", ""), ("零+亿", "亿"), ("亿零+万", "亿零"), ("零+万", "万"), ("零+", "零"), ("零$", ""), ("^一十", "十")):
         out = F.regexp_replace(out, pattern, by)
     return out
@@ -135,23 +136,30 @@ def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     once = kept.dropDuplicates(["page_id"]).withColumn("lines", F.split(F.replace("raw_text", F.lit("\r"), F.lit("")), "\n"))
     is_fence = lambda x: F.ltrim(x).startswith("```") | (F.rtrim(x) == "$$")
     full = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.ltrim(F.element_at("lines", i)) != "")
-    once = once.withColumn("full", full).select("page_id", "lines", *PLACE, F.slice("full", 1, 3).alias("first"), F.slice("full", F.when(F.size("full") > 0, -F.least(F.lit(3), F.size("full"))).otherwise(1), F.lit(3)).alias("last"), F.when(F.contains("raw_text", F.lit("```")) | F.contains("raw_text", F.lit("$$")), F.filter("full", lambda i: is_fence(F.element_at("lines", i)))).alias("fences"))
-    rows = once.select("page_id", "lines", "first", "last", "fences", *PLACE, F.posexplode_outer("lines").alias("pos", "text"))
+    # every line goes with the lines beside it, so that no row carries its whole page
+    beside = F.arrays_zip(F.col("lines").alias("text"), F.concat(F.array(F.lit(None).cast("string")), F.slice("lines", F.lit(1), F.size("lines") - 1)).alias("before"), F.slice("lines", F.lit(2), F.size("lines")).alias("after"))
+    once = once.withColumn("full", full).select("page_id", *PLACE, F.slice("full", 1, 3).alias("first"), F.slice("full", F.when(F.size("full") > 0, -F.least(F.lit(3), F.size("full"))).otherwise(1), F.lit(3)).alias("last"), F.filter("full", lambda i: is_fence(F.element_at("lines", i))).alias("fences"), beside.alias("beside"))
+    rows = once.select("page_id", "first", "last", "fences", *PLACE, F.posexplode_outer("beside").alias("pos", "line")).select("page_id", "first", "last", "fences", *PLACE, "pos", "line.text", "line.before", "line.after")
     tail = lambda c: _bounded(F.substring_index(F.rtrim(c), " ", -1), -48)
     head = lambda c: _bounded(F.substring_index(F.ltrim(c), " ", 1), 1)
-    place = lambda c: F.nullif(F.array_position(c, (F.col("pos") + 1).cast("int")), F.lit(0))
+    no = (F.col("pos") + 1).cast("int")
+    place = lambda c: F.nullif(F.array_position(c, no), F.lit(0))
+    # the fences before a line: its place among them, less one
+    fences_before = F.array_position(F.sort_array(F.array_append("fences", no)), no) - 1
     rows = rows.withColumns({
         "text": F.rtrim("text"),
         "top": F.coalesce(place("first"), F.lit(4)).cast("int"),
         "bottom": (F.size("last") + 1 - F.coalesce(place("last"), F.size("last") - 3)).cast("int"),
-        "in_block": F.when(F.size("fences") > 0, is_fence(F.col("text")) | (F.size(F.filter("fences", lambda i: i <= F.col("pos") + 1)) % 2 == 1)),
+        "in_block": F.when(F.size("fences") > 0, is_fence(F.col("text")) | (fences_before % 2 == 1)),
     })
     t = F.col("text")
+    # most lines are told by their first sign; blanks other than spaces may stand before it
+    opens = lambda signs: F.substring(F.ltrim(t), 1, 1).isin(*signs, "\t", "\x0b", "\f")
     kind = (
         F.when(F.ltrim(t) == "", "blank")
         .when(F.col("in_block"), "block")
-        .when(t.contains("|") & t.rlike(r"^\s*\|.*\|\s*$|^\s*[|:-]*-{3,}"), "table")
-        .when(t.rlike(r"^\s*(?:\d{1,3}[.)、]|[-*•·])\s"), "list")
+        .when(opens("|:-") & t.contains("|") & t.rlike(r"^\s*\|.*\|\s*$|^\s*[|:-]*-{3,}"), "table")
+        .when(opens("0123456789-*•·") & t.rlike(r"^\s*(?:\d{1,3}[.)、]|[-*•·])\s"), "list")
         .when(F.ltrim(t).startswith("#") & t.rlike(r"^\s*#{1,6}\s"), "heading")
         .when(t.rlike("[a-zà-ÿ㐀-鿿]"), "prose")
         .otherwise("other")
@@ -159,11 +167,10 @@ def page_lines(pages: DataFrame, every_line: bool = True) -> DataFrame:
     rows = rows.withColumn("kind", kind)
     if not every_line:
         # a generator between the kind and its filter, else the filter moves down and takes the kind of every line again
-        rows = rows.select("page_id", "lines", "pos", "text", "top", "bottom", *PLACE, F.explode_outer(F.array("kind")).alias("kind"))
+        rows = rows.select("page_id", "pos", "text", "before", "after", "top", "bottom", *PLACE, F.explode_outer(F.array("kind")).alias("kind"))
         rows = rows.filter("kind <> 'blank' and (kind in ('prose', 'list') or top <= 3 or bottom <= 3)")
-    before = tail(F.try_element_at("lines", F.nullif(F.col("pos"), F.lit(0))))
     at_edge = (F.col("top") <= 3) | (F.col("bottom") <= 3)
-    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", before.alias("before"), head(F.try_element_at("lines", F.col("pos") + 2)).alias("after"), "top", "bottom", "kind", F.col("text").rlike("[a-z0-9]{2}").alias("latin"), *[F.when(at_edge, F.col(c)).alias(c) for c in PLACE])
+    return rows.select("page_id", (F.col("pos") + 1).alias("line_no"), "text", tail(F.col("before")).alias("before"), head(F.col("after")).alias("after"), "top", "bottom", "kind", F.col("text").rlike("[a-z0-9]{2}").alias("latin"), *[F.when(at_edge, F.col(c)).alias(c) for c in PLACE])
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -185,12 +192,10 @@ _NUM = r"[\[(（【·.\-—–\s]*(?:第|p\.?|page)?\s*([0-9０-９A-Za-z|í一
 _LONG = _NUM.replace("{1,8}", "{9,48}")
 
 
-def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
-    """``page_id, line_no, noise`` for running headers and page numbers, and ``title`` for the title that opens a chapter.
-
-    ``edge_lines`` are the lines of :func:`page_lines` at the edges of the pages, with the place of their page.
-    """
-    # the number each page must have: printed, else by the offset to the source page that most pages of the book show
+def edge_ends(lines: DataFrame) -> DataFrame:
+    """The lines of :func:`page_lines` at the edges of the pages, trimmed, with the place of their page and what may be a
+    number: the whole line, or its first or last part."""
+    edge_lines = lines.filter("(top <= 3 or bottom <= 3) and kind <> 'blank'").select("page_id", "line_no", "text", "top", "bottom", "kind", *PLACE)
     t = F.col("text")
     low = F.lower(t)
     outer = (F.col("top") <= 2) | (F.col("bottom") <= 2)
@@ -199,7 +204,15 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     edges = edges.withColumn("long_alone", F.when(outer & (F.col("alone") == "") & (F.length(t) <= 64), F.regexp_extract(low, "^" + _LONG + "$", 1)).otherwise(""))
     parted = F.col("parted") & (F.col("alone") == "")
     ends = {f"{k}{side}": F.when(parted, F.regexp_extract(low, pattern, 1)).otherwise("") for k, num in (("", _NUM), ("long_", _LONG)) for side, pattern in (("first", "^" + num + r"(?:\s{2,}|\t|\s*\|\s*)\S"), ("last", r"\S(?:\s{2,}|\t|\s*\|\s*)" + num + "$"))}
-    edges = stored(edges.withColumns(ends).drop("parted"), "edges")
+    return edges.withColumns(ends).drop("parted")
+
+
+def edge_noise(edges: DataFrame, facts: DataFrame) -> DataFrame:
+    """``page_id, line_no, noise`` for running headers and page numbers, and ``title`` for the title that opens a chapter.
+
+    ``edges`` are the lines of :func:`edge_ends`.
+    """
+    # the number each page must have: printed, else by the offset to the source page that most pages of the book show
     number = F.coalesce(*[F.when(F.col(c).rlike("^[0-9]+$"), F.col(c).try_cast("int")) for c in ("alone", "first", "last")])
     shown = F.explode(F.array(F.col("source_pdf_page_number") - F.col("printed_page_number"), F.col("source_pdf_page_number") - number)).alias("offset")
     offsets = edges.select("document_id", shown).filter("offset is not null").groupBy("document_id", "offset").count()
@@ -208,13 +221,13 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     edges = edges.withColumn("n", F.coalesce(F.col("printed_page_number"), F.col("source_pdf_page_number") - F.col("offset")))
     found = F.concat_ws(" ", "alone", "first", "last", "long_alone", "long_first", "long_last")
     needed = {"hanzi": "[一二三四五六七八九十]", "ciphers": "[一二三四五六七八九零〇]"}  # others are spared the work
-    edges = edges.withColumns({k: F.when(found.rlike(needed.get(k, r"\S")), x) for k, x in _notations(F.col("n")).items()})
-    shape = lambda c: skeleton(F.col(c))
-    is_number = {
-        c: F.coalesce((F.col(c) != "") & ((_digits(F.col(c)) == F.col("arabic")) | (_digits(F.col(c), "6") == F.col("arabic")) | (shape(c) == F.col("roman")) | (F.translate(c, "〇", "零") == F.col("hanzi")) | (F.translate(c, "〇", "零") == F.col("ciphers"))), F.lit(False))
-        for c in ("alone", "first", "last", "long_alone", "long_first", "long_last")
-    }
-    edges = edges.withColumns({f"is_{c}": is_number[c] | is_number[f"long_{c}"] for c in ("alone", "first", "last")})
+    edges = edges.withColumns({k: F.when((F.trim(found) != "") & (found.rlike(needed[k]) if k in needed else F.lit(True)), x) for k, x in _notations(F.col("n")).items()})
+
+    def is_number(x: Column) -> Column:
+        plain = F.translate(x, "〇", "零")
+        return F.coalesce((x != "") & ((_digits(x) == F.col("arabic")) | (_digits(x, "6") == F.col("arabic")) | (skeleton(x) == F.col("roman")) | (plain == F.col("hanzi")) | (plain == F.col("ciphers"))), F.lit(False))
+
+    edges = edges.withColumns({f"is_{c}": F.exists(F.array(c, f"long_{c}"), is_number) for c in ("alone", "first", "last")})
     digit_like = lambda c: F.coalesce((F.col(c) != "") & F.col(c).rlike("[0-9]") & _digits(F.col(c)).rlike("^[0-9]+$"), F.lit(False))
     title = (
         F.when(F.col("is_first") | digit_like("first"), F.regexp_replace("text", r"^\S+(?:\s{2,}|\t|\s*\|\s*)", ""))
@@ -224,7 +237,7 @@ def edge_noise(edge_lines: DataFrame, facts: DataFrame) -> DataFrame:
     )
     edges = edges.select("page_id", "document_id", "chapter_id", "chapter_page_index", "line_no", "top", "bottom", "kind", (F.col("is_alone") | F.col("is_first") | F.col("is_last")).alias("numbered"), F.when(title.startswith("#"), F.regexp_replace(title, r"^#+\s*", "")).otherwise(title).alias("title"))
     candidate = F.col("kind").isin("prose", "other", "heading") & (F.col("top").between(1, 2) | F.col("bottom").between(1, 2)) & (F.length("title") <= 120) & ~F.substring("title", -1, 1).isin(*".。;；!?！？") & ~F.ltrim("title").rlike("^[a-z]") & ~_hyphen_end(F.col("title"))
-    shape = F.regexp_replace(skeleton(F.regexp_replace("title", r"\b[0-9]+\b", "#")), r"[\s,.:;'’·\-—]+", "")
+    shape = F.regexp_replace(skeleton(F.when(F.col("title").rlike("[0-9]"), F.regexp_replace("title", r"\b[0-9]+\b", "#")).otherwise(F.col("title"))), r"[\s,.:;'’·\-—]+", "")
     edges = edges.withColumn("shape", F.when(candidate, shape))
     long_enough = F.length("shape") >= F.when(F.col("shape").rlike("[㐀-鿿]"), 2).otherwise(3)
     edges = stored(edges.withColumn("key", F.when(long_enough, F.col("shape"))).drop("shape"), "keyed")
@@ -288,9 +301,12 @@ def raw_forms(raw: DataFrame) -> DataFrame:
 
     Hyphenated compounds stand as such and by their parts.
     """
-    forms = raw.select("raw", F.explode_outer(F.split("raw", _SPLIT)).alias("form"), "n")
-    forms = forms.filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|{_CUT}"))
-    parts = forms.filter(F.col("form").rlike(f"[{MARKS}]")).select("raw", F.explode_outer(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
+    # plain words need no splitting; conditions stay within the generators, as a filter would move down and count the pieces again
+    split = F.split("raw", _SPLIT)
+    forms_of = lambda pieces: raw.select("raw", F.explode_outer(pieces).alias("form"), "n").filter(~F.col("form").rlike(f"^[{MARKS}|]*$|[{MARKS}]$|{_CUT}"))
+    forms = forms_of(F.when(F.col("raw").rlike("^[a-z]+$"), F.array("raw")).otherwise(split))
+    marked = forms_of(F.when(F.col("raw").rlike(f"[{MARKS}]"), split))
+    parts = marked.filter(F.col("form").rlike(f"[{MARKS}]")).select("raw", F.explode_outer(F.split("form", f"[{MARKS}]")).alias("form"), "n").filter("form <> ''")
     return forms.unionAll(parts)
 
 
@@ -354,15 +370,15 @@ def misread_words(lines: DataFrame, raw: DataFrame, counts: DataFrame) -> tuple[
     odd_raw = stored(raw.join(odd, F.col("form") == F.col("_o")).select(F.col("raw").alias("_raw"), "form", "meant", "judged").distinct(), "odd")
     before, after, text = F.coalesce("before", F.lit("")), F.coalesce("after", F.lit("")), F.lower("text")
     prose = _latin(lines, ["prose"])
-    pieces = prose.select("page_id", "line_no", "before", "after", F.split(text, " ").alias("w")).withColumn("n_w", F.size("w"))
-    pieces = pieces.select("page_id", "line_no", "before", "after", "w", "n_w", F.posexplode_outer("w").alias("i", "raw"))
+    pieces = prose.select("page_id", "line_no", "before", "after", F.split(text, " ").alias("w")).withColumn("end", F.size("w") - 1)
+    pieces = pieces.select("page_id", "line_no", "before", "after", "w", "end", F.posexplode_outer("w").alias("i", "raw"))
     small = broadcast_if_small(odd_raw, MOST_SENT)
     if small is odd_raw:
         # too many to send: first drop the most frequent pieces that are surely right, of which a bounded number is sent
         stop = raw.select("raw", "n").distinct().join(odd_raw, F.col("raw") == F.col("_raw"), "left_anti").orderBy(F.col("n").desc(), "raw").limit(STOP_FORMS).select(F.col("raw").alias("_stop"))
         pieces = pieces.join(F.broadcast(stop), F.col("raw") == F.col("_stop"), "left_anti")
     pieces = pieces.join(small, F.col("raw") == F.col("_raw"))
-    here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_hyphen_end(F.col("before")) & _ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.col("n_w") - 1) & _hyphen_end(F.col("raw")) & _ends_cut(F.col("raw"))))
+    here = pieces.filter(~((F.col("i") == 0) & F.coalesce(_hyphen_end(F.col("before")) & _ends_cut(F.col("before")), F.lit(False))) & ~((F.col("i") == F.col("end")) & _hyphen_end(F.col("raw")) & _ends_cut(F.col("raw"))))
     # most neighbours are plain words, which need no splitting
     word = lambda c, n: F.when(c.rlike("^[a-z]+$"), c).otherwise(F.coalesce(F.try_element_at(_words(c), F.lit(n)), F.lit("^")))
     near = lambda i, other, n: F.when(F.col("judged"), word(F.coalesce(F.try_element_at("w", F.when(i > 0, i)), other), n))
@@ -425,11 +441,11 @@ def ideographs(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return occ, lines.sparkSession.createDataFrame([(code[a], code[b]) for a, b in IDEOGRAPHS], "form string, other string")
 
 
-def broken_words(lines: DataFrame, edge_lines: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
+def broken_words(lines: DataFrame, edges: DataFrame, noise: DataFrame, counts: DataFrame) -> DataFrame:
     """``page_id, line_no, one`` of lines that end inside a word, with the whole word."""
     ends = lines.filter("kind in ('prose', 'list')").filter(_hyphen_end(F.col("text")) & _ends_cut(F.col("text"))).select("page_id", "line_no", F.substring_index("text", " ", -1).alias("text"), "after")
     # first and last line of running text of each page, past headers and numbers
-    edges = edge_lines.select("page_id", "line_no", _bounded(F.substring_index(F.ltrim("text"), " ", 1), 1).alias("text"), *PLACE[:3]).join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
+    edges = edges.select("page_id", "line_no", _bounded(F.substring_index(F.ltrim("text"), " ", 1), 1).alias("text"), *PLACE[:3]).join(noise.select("page_id", "line_no").distinct(), ["page_id", "line_no"], "left_anti")
     body = stored(edges.groupBy("page_id", *PLACE[:3]).agg(F.max("line_no").alias("last_line"), F.min(F.struct("line_no", "text")).alias("f")), "body")
     following = body.select(F.col("document_id").alias("_d"), F.col("chapter_id").alias("_c"), (F.col("chapter_page_index") - 1).alias("_i"), F.col("f.text").alias("next_text"))
     tail = body.select(F.col("page_id").alias("_p"), "last_line", "document_id", "chapter_id", "chapter_page_index")
@@ -457,13 +473,13 @@ def _analysed(pages: DataFrame, every_line: bool) -> tuple[DataFrame, DataFrame,
     """Lines, edge noise, sure misreadings, misreadings by context, broken words - of all pages."""
     lines = stored(page_lines(pages, every_line), "lines")
     facts = stored(page_facts(pages), "facts")
-    edge_lines = stored(lines.filter("kind <> 'blank' and (top <= 3 or bottom <= 3)").select("page_id", "line_no", "text", "top", "bottom", "kind", *PLACE), "edge_lines")
-    edge = stored(edge_noise(edge_lines, facts), "edge")
+    edges = stored(edge_ends(lines), "edges")
+    edge = stored(edge_noise(edges, facts), "edge")
     raw = stored(raw_forms(raw_counts(lines)), "raw")
     counts = stored(word_counts(raw), "counts")
     hit, words, rivals = misread_words(lines, raw, counts)
     signs, looks = ideographs(lines)
-    return lines, edge, hit, in_context(words.unionAll(signs), rivals.unionAll(looks)), broken_words(lines, edge_lines, edge, counts)
+    return lines, edge, hit, in_context(words.unionAll(signs), rivals.unionAll(looks)), broken_words(lines, edges, edge, counts)
 
 
 def page_noise(pages: DataFrame) -> DataFrame:

@@ -100,3 +100,42 @@ def test_a_long_word_broken_at_the_end_of_a_line(spark):
     half = "deoxy" * 12
     rows = [page(i, f"It was begun by {'abcdefghijkl'[i - 2]}.\nThe {half}ribose was read.\n" + (f"It was the {half}-\nribose that counted.\n" if i == 5 else "") + str(10 + i), 10 + i) for i in range(2, 12)]
     assert [(r.page_id[-4:], r.line_no) for r in page_noise(spark.createDataFrame(rows, SCHEMA)).collect() if r.noise == "broken_word"] == [("0005", 3)]
+
+
+def test_every_method_is_small_enough_to_be_compiled(spark, monkeypatch):
+    import quillon.llm.page_noise as m
+
+    real, sizes = m.stored, {}
+
+    def methods(df, name):
+        def walk(plan):
+            if plan.nodeName().startswith("WholeStageCodegen"):
+                compiled = spark._jvm.org.apache.spark.sql.catalyst.expressions.codegen.CodeGenerator.compile(plan.doCodeGen()._2())
+                sizes[name] = max(sizes.get(name, 0), compiled._2().maxMethodCodeSize())
+            for i in range(plan.children().size()):
+                walk(plan.children().apply(i))
+
+        walk(df._jdf.queryExecution().executedPlan())
+        return real(df, name)
+
+    monkeypatch.setattr(m, "stored", methods)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        page_noise(spark.createDataFrame([page(i, f"Notes from the Bench\n{BODY}\n{10 + i}", 10 + i) for i in range(2, 6)], SCHEMA)).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(sizes) > 20 and {k: v for k, v in sizes.items() if v > 8000} == {}  # the JVM leaves larger methods uncompiled
+
+
+def test_lines_beside_a_line_and_blocks(spark):
+    from quillon.llm.page_noise import page_lines
+
+    text = "One  \r\n\n```\n| a |\n $$\n1. x\n```\n\t| a | b |\n:---|\n2) two\nlast $$\n\t\x0b7. seven\nend | of"
+    df = spark.createDataFrame([page(1, text), page(2, "alone"), page(3, "$$\nx"), page(4, "")], SCHEMA)
+    out = {(int(r.page_id[-4:]), r.line_no): r for r in page_lines(df).collect()}
+    assert [out[1, i].kind for i in range(1, 14)] == ["prose", "blank", "block", "block", "block", "block", "block", "table", "table", "list", "prose", "list", "prose"]
+    assert [(out[1, i].before, out[1, i].after) for i in (1, 2, 10, 13)] == [(None, ""), ("One", "```"), (":---|", "last"), ("seven", None)]
+    assert [(out[1, i].top, out[1, i].bottom) for i in (1, 3, 4, 5, 11, 12, 13)] == [(1, 4), (2, 4), (3, 4), (4, 4), (4, 3), (4, 2), (4, 1)]
+    assert (out[2, 1].before, out[2, 1].after, out[2, 1].top, out[2, 1].bottom) == (None, None, 1, 1)
+    assert [out[3, i].kind for i in (1, 2)] == ["block", "block"] and out[4, 1].kind == "blank"
